@@ -77,8 +77,19 @@ def sentence_similarity(a: Column, b: Column) -> Column:
 
 
 def in_charset(word: Column, charset: str = GB2312, forbidden: str = r"[~!@#$%^&* ]") -> Column:
-    """No forbidden character, and every character encodable in the charset."""
-    return ~word.rlike(forbidden) & (F.translate(word, charset, "") == "")
+    """No forbidden character, and every character encodable in the charset.
+
+    The charset becomes a constant array of marks by code point, so a character
+    is looked up in one step.
+    """
+    members = set(charset)
+    marks = "".join("1" if chr(c) in members else "0" for c in range(0x10000))
+    by_code_point = F.split(F.lit(marks), "")
+    encodable = F.forall(
+        F.split(word, ""),
+        lambda c: (c == "") | F.coalesce(F.get(by_code_point, F.ascii(c)) == "1", F.lit(False)),
+    )
+    return ~word.rlike(forbidden) & encodable
 
 
 @dataclass(frozen=True)

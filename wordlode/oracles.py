@@ -217,9 +217,12 @@ found AS (SELECT page_id, term, count(*) AS n FROM runs JOIN hits ON run = word
 FROM found JOIN pages USING (page_id)""",
     "clean_chain": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
     "lexical_rules": _with(CANDIDATES) + f"SELECT word FROM cand WHERE {LATIN_RULES}",
-    "charset_filter": f"""SELECT word FROM
-(SELECT DISTINCT unnest(string_split_regex(text, '[ \\n]+')) AS word FROM documents)
-WHERE NOT regexp_matches(word, '[~!@#$%^&* ]') AND translate(word, {_list(GB2312)}, '') = ''""",
+    "charset_filter": _with(
+        r"""pieces AS (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS word FROM documents)""",
+        f"charset AS (SELECT unnest(string_split({_list(GB2312)}, '')) AS ch)",
+        """used AS (SELECT word, unnest(string_split(word, '')) AS ch FROM pieces)""",
+    ) + """SELECT word FROM pieces WHERE NOT regexp_matches(word, '[~!@#$%^&* ]')
+AND word NOT IN (SELECT word FROM used WHERE ch <> '' AND ch NOT IN (SELECT ch FROM charset))""",
     "sentence_split": _with(_sentences()) + "SELECT doc_id, sent_id, sentence FROM sent",
     "tokenize": f"""SELECT doc_id, (generate_subscripts(t, 1) - 1)::INTEGER AS pos, unnest(t) AS word
 FROM (SELECT doc_id, {_words('text')} AS t FROM documents)""",
@@ -299,11 +302,11 @@ WHERE a IN (SELECT word FROM good) AND b IN (SELECT word FROM good)""",
         """good AS (SELECT * FROM pairs WHERE a NOT IN (SELECT txt FROM stop)
   AND b NOT IN (SELECT txt FROM stop))""",
         _both_ways("good", "conv_id, turn"), _word_rank("conv_id, turn"), recursive=True,
-    ) + "SELECT conv_id, turn, node AS word, round(rank, 6) AS weight FROM ranks",
+    ) + "SELECT conv_id, turn, node AS word, round(rank, 9) AS weight FROM ranks",
     "doc_keywords": _with(
         STOP, _sentences(), _sentence_words(), _no_stop(), _pairs(2, "kept"),
         _both_ways("pairs", "doc_id"), _word_rank("doc_id"), recursive=True,
-    ) + """SELECT doc_id, (n - 1)::INTEGER AS pos, node AS word, round(rank, 6) AS weight
+    ) + """SELECT doc_id, (n - 1)::INTEGER AS pos, node AS word, round(rank, 9) AS weight
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(rank, 9) DESC, node) AS n
   FROM ranks WHERE length(node) >= 2) WHERE n <= 6""",
     "keyphrases": _with(
@@ -345,7 +348,7 @@ flow AS (SELECT sim.doc_id, sim.src, dst, sim / strength AS share
     1.0::DOUBLE / count(*) OVER (PARTITION BY alone.doc_id, alone.node)
   FROM alone JOIN nodes ON alone.doc_id = nodes.doc_id)""",
         _group_rank("flow", "nodes", "doc_id"), recursive=True,
-    ) + """SELECT r.doc_id, node AS sent_id, round(coalesce(strength, 0), 6) AS strength, round(rank, 6) AS weight
+    ) + """SELECT r.doc_id, node AS sent_id, round(coalesce(strength, 0), 6) AS strength, round(rank, 9) AS weight
 FROM ranks r LEFT JOIN mass m ON r.doc_id = m.doc_id AND node = src""",
     "keyword_contrast": _with(
         DOMAIN, BACKGROUND,

@@ -12,10 +12,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordlode.functions import text as T
+from wordlode.functions.rows import explode_rows
 from wordlode.operators import counts, discover, expand, graph, match, textrank, vectors
 from wordlode.plans.mine import MiningConfig, mine_vocabulary, remove_stop_words
 from wordlode.profiles import LATIN
-from wordlode.session import cut_lineage, ensure_checkpoint_dir, small_list
+from wordlode.session import cut_lineage, ensure_checkpoint_dir, small_list, spread
 from wordlode.sources.tables import scan, scan_partition, write_partition
 
 STEPS = 10
@@ -32,7 +33,7 @@ def tokens_of(text: str | Column = "text", lower: bool = True) -> Column:
 
 
 def documents(spark, sf, *columns):
-    return table(spark, sf, "documents", *(columns or ("doc_id", "text")))
+    return spread(table(spark, sf, "documents", *(columns or ("doc_id", "text"))))
 
 
 def is_domain(spark, sf):
@@ -48,20 +49,16 @@ def background(spark, sf):
 
 
 def vocabulary(spark, sf):
-    words = table(spark, sf, "benchmark", "text").select(F.explode(tokens_of()).alias("key"))
+    words = explode_rows(table(spark, sf, "benchmark", "text"), tokens_of(), "key")
     return words.where(F.length("key") >= 5).distinct()
 
 
 def gazetteer(spark, sf):
-    return table(spark, sf, "part", "p_name").select(
-        F.explode(tokens_of("p_name")).alias("key")
-    ).distinct()
+    return explode_rows(table(spark, sf, "part", "p_name"), tokens_of("p_name"), "key").distinct()
 
 
 def stop_words(spark, sf):
-    seen = documents(spark, sf, "text").select(
-        F.explode(F.array_distinct(tokens_of())).alias("txt")
-    )
+    seen = explode_rows(documents(spark, sf, "text"), F.array_distinct(tokens_of()), "txt")
     return (
         seen.groupBy("txt").agg(F.count("*").alias("n"))
         .orderBy(F.col("n").desc(), "txt").limit(50).select("txt")
@@ -73,14 +70,14 @@ def stop_list(spark, sf):
 
 
 def candidates(spark, sf):
-    return documents(spark, sf, "text").select(F.explode(tokens_of()).alias("word")).distinct()
+    words = explode_rows(documents(spark, sf, "text"), tokens_of(), "word").distinct()
+    # Written first, so that rules run once per word: Spark would move them before distinct.
+    return cut_lineage(words)
 
 
 def sentence_rows(df: DataFrame, *keys: str) -> DataFrame:
-    return df.select(
-        *keys, F.posexplode(T.sentences(F.col("text"), LATIN.sentence_delimiters))
-        .alias("sent_id", "sentence")
-    )
+    split = T.sentences(F.col("text"), LATIN.sentence_delimiters)
+    return explode_rows(df, split, "sentence", *keys, pos="sent_id")
 
 
 def sentence_tokens(text: str = "text", lower: bool = True) -> Column:
@@ -100,7 +97,7 @@ def rounded(name: str, digits: int = 6) -> Column:
 # Scans, text functions, rules
 
 def scan_project(spark, sf):
-    return documents(spark, sf, "doc_id", "lang", "source")
+    return table(spark, sf, "documents", "doc_id", "lang", "source")
 
 
 def partition_scan(spark, sf):
@@ -128,7 +125,7 @@ def seed_match_filter(spark, sf):
 
 def term_matches(spark, sf):
     found = match.term_matches(
-        table(spark, sf, "pages", "page_id", "html"), ["page_id"], F.lower("html"),
+        spread(table(spark, sf, "pages", "page_id", "html")), ["page_id"], F.lower("html"),
         vocabulary(spark, sf),
     )
     return found.groupBy("page_id", "term").agg(
@@ -145,9 +142,9 @@ def lexical_rules(spark, sf):
 
 
 def charset_filter(spark, sf):
-    pieces = documents(spark, sf, "text").select(
-        F.explode(F.split("text", "[ \n]+")).alias("word")
-    ).distinct()
+    pieces = cut_lineage(
+        explode_rows(documents(spark, sf, "text"), F.split("text", "[ \n]+"), "word").distinct()
+    )
     return pieces.where(T.in_charset(F.col("word")))
 
 
@@ -156,7 +153,7 @@ def sentence_split(spark, sf):
 
 
 def tokenize(spark, sf):
-    return documents(spark, sf).select("doc_id", F.posexplode(tokens_of()).alias("pos", "word"))
+    return explode_rows(documents(spark, sf), tokens_of(), "word", "doc_id", pos="pos")
 
 
 def stop_word_filter(spark, sf):
@@ -166,8 +163,8 @@ def stop_word_filter(spark, sf):
 
 
 def token_views(spark, sf):
-    views = textrank.token_views(sentence_tokens(), stop_list(spark, sf))
-    return documents(spark, sf).select(
+    views = textrank.token_views(F.col("s"), stop_list(spark, sf))
+    return documents(spark, sf).select("doc_id", sentence_tokens().alias("s")).select(
         "doc_id",
         *[joined(F.transform(view, joined)).alias(name) for name, view in views.items()],
     )
@@ -178,9 +175,7 @@ def dictionary_segment(spark, sf):
     cut = match.segment(
         documents(spark, sf), ["doc_id"], F.lower("text"), terms, LATIN.separator, single=True
     )
-    return cut.select("doc_id", F.explode("tokens").alias("token")).groupBy(
-        "doc_id", "token"
-    ).agg(F.count("*").alias("n"))
+    return explode_rows(cut, F.col("tokens"), "token", "doc_id").groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
 # Counts and statistics
@@ -190,10 +185,11 @@ def word_freq(spark, sf):
 
 
 def term_counts(spark, sf):
-    rows = sentence_rows(table(spark, sf, "conversations"), "conv_id", "turn")
-    return rows.select(
-        "conv_id", "turn", "sent_id", F.explode(tokens_of("sentence")).alias("word")
-    ).groupBy("conv_id", "turn", "sent_id", "word").agg(F.count("*").alias("n"))
+    rows = sentence_rows(spread(table(spark, sf, "conversations")), "conv_id", "turn")
+    keys = ("conv_id", "turn", "sent_id")
+    return explode_rows(rows, tokens_of("sentence"), "word", *keys).groupBy(*keys, "word").agg(
+        F.count("*").alias("n")
+    )
 
 
 def pair_pmi(spark, sf):
@@ -263,59 +259,58 @@ def phrase_count(spark, sf):
 # Graphs
 
 def window_pairs(spark, sf):
-    rows = documents(spark, sf).select(F.explode(sentence_tokens()).alias("tokens"))
-    return rows.select(F.explode(graph.window_pairs(F.col("tokens"), 3)).alias("p")).groupBy(
-        F.col("p.a").alias("a"), F.col("p.b").alias("b")
-    ).agg(F.count("*").alias("n"))
+    rows = explode_rows(documents(spark, sf), sentence_tokens(), "tokens")
+    pairs = explode_rows(rows, graph.window_pairs(F.col("tokens"), 3), "p")
+    return pairs.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(
+        F.count("*").alias("n")
+    )
 
 
 def cooccur_graph(spark, sf):
-    rows = documents(spark, sf).select(F.explode(sentence_tokens()).alias("tokens"))
+    rows = explode_rows(documents(spark, sf), sentence_tokens(), "tokens")
     vertices = candidates(spark, sf).where(T.acceptable(F.col("word"), LATIN.word_rules))
     return graph.cooccurrence(rows, "tokens", 3, vertices=vertices)
 
 
 def pagerank_corpus(spark, sf):
-    rows = documents(spark, sf).select(F.explode(sentence_tokens()).alias("tokens"))
+    rows = explode_rows(documents(spark, sf), sentence_tokens(), "tokens")
     ranks = textrank.corpus_words(rows, "tokens", 2, max_iter=STEPS, tol=0.0)
     return ranks.select("word", rounded("weight", 9))
 
 
 def pagerank_doc(spark, sf):
-    views = textrank.token_views(sentence_tokens(), stop_list(spark, sf))
+    views = textrank.token_views(F.col("s"), stop_list(spark, sf))
     ranked = textrank.analyse(views, vertex_source="all_filters", edge_source="no_filter")
-    return table(spark, sf, "conversations", "conv_id", "turn", "text").select(
-        "conv_id", "turn", F.explode(ranked).alias("k")
-    ).select("conv_id", "turn", "k.word", F.round("k.weight", 6).alias("weight"))
+    turns = spread(table(spark, sf, "conversations", "conv_id", "turn", "text"))
+    tokens = turns.select("conv_id", "turn", sentence_tokens().alias("s"))
+    return explode_rows(tokens, ranked, "k", "conv_id", "turn").select("conv_id", "turn", "k.word", F.round("k.weight", 9).alias("weight"))
 
 
-def _doc_keywords(spark, sf, num, min_len, lower):
-    views = textrank.token_views(sentence_tokens(lower=lower), stop_list(spark, sf))
-    return textrank.top_keywords(textrank.analyse(views), num, min_len)
+def _keyword_frame(spark, sf, num, min_len, lower):
+    df = documents(spark, sf).select("doc_id", "text", sentence_tokens(lower=lower).alias("s"))
+    views = textrank.token_views(F.col("s"), stop_list(spark, sf))
+    return df.withColumn("keywords", textrank.analyse(views, num=num, min_len=min_len))
 
 
 def doc_keywords(spark, sf):
-    top = _doc_keywords(spark, sf, 6, 2, True)
-    return documents(spark, sf).select("doc_id", F.posexplode(top).alias("pos", "k")).select(
-        "doc_id", "pos", "k.word", F.round("k.weight", 6).alias("weight")
-    )
+    df = _keyword_frame(spark, sf, 6, 2, True)
+    return explode_rows(df, F.col("keywords"), "k", "doc_id", pos="pos").select("doc_id", "pos", "k.word", F.round("k.weight", 9).alias("weight"))
 
 
 def keyphrases(spark, sf):
-    df = documents(spark, sf).select(
-        "doc_id", "text", sentence_tokens(lower=False).alias("no_filter"),
-        _doc_keywords(spark, sf, 12, 1, False)["word"].alias("keywords"),
-    )
-    phrases = textrank.keyphrases(F.col("text"), F.col("no_filter"), F.col("keywords"), LATIN.joiner)
-    return df.select("doc_id", F.explode(phrases).alias("phrase"))
+    phrases = textrank.keyphrases(F.col("text"), F.col("s"), F.col("keywords.word"), LATIN.joiner)
+    return explode_rows(_keyword_frame(spark, sf, 12, 1, False), phrases, "phrase", "doc_id")
 
 
 def sentence_similarity(spark, sf):
     tokens = documents(spark, sf).select("doc_id", sentence_tokens().alias("s"))
-    pairs = tokens.select("doc_id", F.posexplode(F.zip_with(
+    followers = F.zip_with(
         F.slice("s", 1, F.size("s") - 1), F.slice("s", 2, F.size("s") - 1),
         lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-    )).alias("sent_id", "p")).where("p.a is not null")
+    )
+    pairs = explode_rows(
+        tokens.where(F.size("s") > 1), followers, "p", "doc_id", pos="sent_id"
+    )
     a, b = F.col("p.a"), F.col("p.b")
     return pairs.select(
         "doc_id", "sent_id",
@@ -327,9 +322,9 @@ def sentence_similarity(spark, sf):
 
 def sentence_rank(spark, sf):
     ranked = textrank.ranked_sentences(sentence_tokens())
-    return documents(spark, sf).select("doc_id", F.explode(ranked).alias("r")).select(
+    return explode_rows(documents(spark, sf), ranked, "r", "doc_id").select(
         "doc_id", F.col("r.index").alias("sent_id"), F.round("r.strength", 6).alias("strength"),
-        F.round("r.weight", 6).alias("weight"),
+        F.round("r.weight", 9).alias("weight"),
     )
 
 

@@ -44,13 +44,28 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+# Below this many bytes per core a table is dealt out anew.
+SMALL_BYTES_PER_CORE = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a small table over all cores.
+
+    A small file is one row group, hence one task, however much work each row
+    is. Tables of many files already have a task per split and stay untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df
+
+
 def small_list(df: DataFrame, column: str, max_rows: int, max_chars: int = 64_000_000):
     """The distinct non-empty strings of a column, or None if over the bound.
 
     The size is measured first, so at most ``max_rows`` rows reach the driver.
     """
-    terms = df.select(F.col(column).alias("term")).where("term <> ''").distinct()
+    terms = cut_lineage(df.select(F.col(column).alias("term")).where("term <> ''").distinct())
     size = terms.agg(F.count("*").alias("n"), F.sum(F.length("term")).alias("c")).first()
     if size["n"] > max_rows or (size["c"] or 0) > max_chars:
         return None
-    return sorted(row["term"] for row in terms.toLocalIterator())
+    return sorted(row["term"] for row in terms.collect())
