@@ -7,8 +7,6 @@ gazetteer the words of part names, stop words the fifty words in most documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordlode.functions import text as T
@@ -16,7 +14,7 @@ from wordlode.functions.rows import explode_rows
 from wordlode.operators import counts, discover, expand, graph, match, textrank, vectors
 from wordlode.plans.mine import MiningConfig, mine_vocabulary, remove_stop_words
 from wordlode.profiles import LATIN
-from wordlode.session import cut_lineage, ensure_checkpoint_dir, small_list, spread
+from wordlode.session import cut_lineage, shared_path, small_list, spread
 from wordlode.sources.tables import scan, scan_partition, write_partition
 
 STEPS = 10
@@ -101,8 +99,7 @@ def scan_project(spark, sf):
 
 
 def partition_scan(spark, sf):
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/by-day-{uuid.uuid4().hex}"
+    path = shared_path(spark, "by-day")
     columns = ("doc_id", F.length("text").alias("n"))
     write_partition(background(spark, sf).select(*columns), path, DAY_BEFORE)
     write_partition(domain(spark, sf).select(*columns), path, DAY)

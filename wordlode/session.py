@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,17 +25,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    Spark knows the true size of a written table, so it broadcasts only what is
+    small, and it no longer carries the conditions that led to the rows into
+    other sides of a join, where it would check them again on every row.
+    """
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpoint_in_place(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame so that its partitioning and order stay usable.
 
-    With ``keep_partitioning`` the hash partitioning of the plan survives, so
-    later joins and groups on the same keys need no shuffle. Adaptive plans do
-    not report their partitioning, hence the switch around that one write.
+    Later joins and groups on the same keys then need no shuffle. Adaptive
+    plans do not report their partitioning, hence the switch around the write.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    if not keep_partitioning:
-        return df.checkpoint()
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
