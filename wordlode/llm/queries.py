@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import decontaminate, simhash
+from wordlode.llm import decontaminate, langid, quality, simhash, toxic
+from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
 
@@ -27,7 +28,41 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _verdicts(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), F.col("result").alias("score"),
+        (F.col("result") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", F.col("toxic").alias("label"))
+    return _verdicts(toxic.score(docs, toxic.train(docs, labels)), 0.3)
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "result.*")
+
+
+def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    """``row`` and ``result`` for ``docs`` by a model learned from the labelled documents of ``sf_dir``."""
+    learn = table(spark, sf_dir, "documents", "doc_id", "text", F.col("n_chars").alias("recorded"))
+    labels = table(spark, sf_dir, "labels", "doc_id", F.col("quality").alias("label"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "n_chars") if docs is None else docs
+    return quality.score(docs, quality.train(learn, labels))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _verdicts(quality_scores(spark, sf_dir), 0.7)
+
+
 QUERIES = {
     "op3_simhash_near_dedup": near_duplicates,
+    "op5_toxicity": toxicity,
     "op6_benchmark_decontamination": decontamination,
+    "op8_language_id": language,
+    "op9_quality_classifier": quality_classifier,
 }
