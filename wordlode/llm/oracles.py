@@ -2,4 +2,63 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# Groups at sf0.01 are small enough for the sketches to hold every value.
+QUALITY_RULES = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), cut AS (
+    SELECT *, list_filter(regexp_split_to_array(t, '[ \t-\r]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines
+    FROM docs
+), win AS (
+    SELECT rid, i, w[i:i + 7] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM cut)
+), twin AS (
+    SELECT rid, g FROM win GROUP BY rid, g HAVING count(*) > 1
+), covered AS (
+    SELECT rid, count(DISTINCT p) AS n FROM (
+        SELECT rid, unnest(range(i, i + 8)) AS p FROM win JOIN twin USING (rid, g)
+    ) GROUP BY rid
+), counted AS (
+    SELECT cut.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(t, '[ \t-\r]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) AS BIGINT) AS n_lines,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+    FROM cut LEFT JOIN covered ON cut.rid = covered.rid
+), measured AS (
+    SELECT *, n_symbols / nullif(n_words, 0)::DOUBLE AS m1, n_dup_lines / nullif(n_lines, 0)::DOUBLE AS m2,
+           n_repeat_words / nullif(n_words, 0)::DOUBLE AS m3, word_chars / nullif(n_words, 0)::DOUBLE AS m4
+    FROM counted
+), levels AS (
+    SELECT a.lang, a.source, a.n AS ng, b.n AS nl, a.v AS vg, b.v AS vl, c.v AS va FROM
+    (SELECT lang, source, count(m1) AS n, [list_sort(list(m1) FILTER (m1 IS NOT NULL)),
+        list_sort(list(m2) FILTER (m2 IS NOT NULL)), list_sort(list(m3) FILTER (m3 IS NOT NULL)),
+        list_sort(list(m4) FILTER (m4 IS NOT NULL))] AS v FROM measured GROUP BY lang, source) a
+    JOIN (SELECT lang, count(m1) AS n, [list_sort(list(m1) FILTER (m1 IS NOT NULL)),
+        list_sort(list(m2) FILTER (m2 IS NOT NULL)), list_sort(list(m3) FILTER (m3 IS NOT NULL)),
+        list_sort(list(m4) FILTER (m4 IS NOT NULL))] AS v FROM measured GROUP BY lang) b
+      ON a.lang IS NOT DISTINCT FROM b.lang
+    CROSS JOIN (SELECT [list_sort(list(m1) FILTER (m1 IS NOT NULL)),
+        list_sort(list(m2) FILTER (m2 IS NOT NULL)), list_sort(list(m3) FILTER (m3 IS NOT NULL)),
+        list_sort(list(m4) FILTER (m4 IS NOT NULL))] AS v FROM measured) c
+), quartiles AS (
+    SELECT lang, source, list_transform(v, lambda x: x[greatest(1, ceil(0.25 * len(x)))::INT]) AS q1,
+           list_transform(v, lambda x: x[greatest(1, ceil(0.75 * len(x)))::INT]) AS q3
+    FROM (SELECT lang, source, CASE WHEN ng >= 50 THEN vg WHEN nl >= 50 THEN vl ELSE va END AS v FROM levels)
+), judged AS (
+    SELECT m.*, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+           coalesce(m1 > q3[1] + 3.0 * greatest(q3[1] - q1[1], 0.1)
+             OR m2 > q3[2] + 3.0 * greatest(q3[2] - q1[2], 0.1)
+             OR m3 > q3[3] + 3.0 * greatest(q3[3] - q1[3], 0.1)
+             OR m4 > q3[4] + 3.0 * greatest(q3[4] - q1[4], 1.5)
+             OR m4 < q1[4] - 3.0 * greatest(q3[4] - q1[4], 1.5), false) AS beyond
+    FROM measured m LEFT JOIN quartiles q
+      ON m.lang IS NOT DISTINCT FROM q.lang AND m.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT beyond AS kept
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op7_quality_rules": QUALITY_RULES}

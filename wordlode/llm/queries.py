@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import decontaminate, langid, quality, simhash, toxic
+from wordlode.llm import decontaminate, langid, quality, rules, simhash, toxic
 from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
@@ -47,6 +47,10 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "result.*")
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """``row`` and ``result`` for ``docs`` by a model learned from the labelled documents of ``sf_dir``."""
     learn = table(spark, sf_dir, "documents", "doc_id", "text", F.col("n_chars").alias("recorded"))
@@ -63,6 +67,7 @@ QUERIES = {
     "op3_simhash_near_dedup": near_duplicates,
     "op5_toxicity": toxicity,
     "op6_benchmark_decontamination": decontamination,
+    "op7_quality_rules": quality_rules,
     "op8_language_id": language,
     "op9_quality_classifier": quality_classifier,
 }
