@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import decontaminate, langid, quality, rules, simhash, toxic
+from wordlode.llm import decontaminate, langid, quality, rules, simhash, sitetree, toxic
 from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
@@ -28,6 +28,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sitetree.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select(
+        "row.page_id", "row.url", F.col("result").alias("text"),
+        F.length("result").cast("long").alias("n_chars"),
+    )
+
+
 def _verdicts(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select(
         "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), F.col("result").alias("score"),
@@ -65,6 +73,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_near_dedup": near_duplicates,
+    "op4_html_extraction": html_extraction,
     "op5_toxicity": toxicity,
     "op6_benchmark_decontamination": decontamination,
     "op7_quality_rules": quality_rules,
