@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import decontaminate, langid, quality, rules, simhash, sitetree, toxic
+from wordlode.llm import decontaminate, langid, quality, rules, simhash, sitetree, suffix, toxic
 from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
@@ -71,6 +71,13 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(quality_scores(spark, sf_dir), 0.7)
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove(table(spark, sf_dir, "documents", "doc_id", "text"), size=100, with_bytes=False)
+    return found.select(
+        "row.doc_id", "result.n_bytes", "result.n_removed", "result.n_spans", "result.kept_sha256"
+    )
+
+
 QUERIES = {
     "op3_simhash_near_dedup": near_duplicates,
     "op4_html_extraction": html_extraction,
@@ -79,4 +86,5 @@ QUERIES = {
     "op7_quality_rules": quality_rules,
     "op8_language_id": language,
     "op9_quality_classifier": quality_classifier,
+    "op10_suffix_array_dedup": suffix_dedup,
 }
