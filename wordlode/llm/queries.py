@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import decontaminate, langid, quality, rules, simhash, sitetree, suffix, toxic
+from wordlode.llm import count, decontaminate, langid, pack, quality, rules, simhash, sitetree, suffix, toxic
 from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
@@ -13,6 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return scan(spark, f"{sf_dir}/{name}.parquet", *columns)
 
 
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pack.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=1024)
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = count.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("row.doc_id", F.col("result").alias("n_tokens"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, radius=4)
 
@@ -79,6 +91,8 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_curve_packing": packing,
+    "op2_token_counts": token_counts,
     "op3_simhash_near_dedup": near_duplicates,
     "op4_html_extraction": html_extraction,
     "op5_toxicity": toxicity,

@@ -419,16 +419,16 @@ def covered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
 RESULT = T.StructType([
     T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
     T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
-    T.StructField("kept", T.BinaryType()),
+    T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType()),
 ])
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
-           many: int = MANY, with_bytes: bool = True) -> DataFrame:
+           many: int = MANY, with_bytes: bool = True, with_text: bool = False) -> DataFrame:
     """``row`` and ``result``: what is left of each text when later copies are removed.
 
-    ``kept`` holds the remaining bytes (NULL unless ``with_bytes``); a cut may fall inside a
-    character, so they need not be valid UTF-8.
+    ``kept`` holds the remaining bytes if ``with_bytes``; a cut may fall inside a character.
+    ``kept_text`` holds them as text if ``with_text``, without the halves of cut characters.
     """
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, all_spans in batches:
@@ -443,7 +443,8 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
                     edges = [0, *np.stack([start, end], 1).ravel().tolist(), len(data)]
                     kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                     removed, n = int((end - start).sum()), len(start)
-                out.append((len(data), removed, n, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None))
+                out.append((len(data), removed, n, hashlib.sha256(kept).hexdigest(),
+                            kept if with_bytes else None, kept.decode("utf-8", "ignore") if with_text else None))
             yield pd.DataFrame(out, columns=RESULT.names)
 
     spans = covered(docs, doc_id, text, size, many)
