@@ -68,11 +68,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal out a small table over all cores.
 
     A small file is one row group, hence one task, however much work each row
-    is. Tables of many files already have a task per split and stay untouched.
+    is. Large tables and tables of a file per core already have a task for each
+    core and stay untouched.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df
+    if size >= cores * SMALL_BYTES_PER_CORE or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def small_list(df: DataFrame, column: str, max_rows: int, max_chars: int = 64_000_000):
