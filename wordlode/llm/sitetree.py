@@ -53,47 +53,46 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def _signs(page: str | None) -> tuple[int, set[tuple[int, int, int]], dict[int, tuple[int, ...]]]:
-    """Content hash of a page, its distinct (kind, node, value) and the nodes above each text node."""
+def _signs(page: str | None) -> tuple[int, set[tuple[int, int, int]]]:
+    """Content hash of a page and its distinct signs (kind, node, value)."""
     blocks, styles = dom.read(page)
     main = dom.content(blocks)
-    whole = dom._hash("\n".join(b.text for b in main))
     found = {(_STYLE, path, style) for path, style in styles} | {(_PAGES, path, 0) for path, _ in styles}
-    above = {}
     for block in main:
-        found.add((_TEXT, block.paths[-1], dom.normal(block.text)))
-        above[block.paths[-1]] = block.paths[1:]
-    return whole, found, above
+        node = block.paths[-1]
+        found.add((_TEXT, node, dom.normal(block.text)))
+        found.update((_ABOVE, node, holder) for holder in block.paths[1:])
+    return dom._hash("\n".join(b.text for b in main)), found
 
 
 def _emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["host", "page", "kind", "node", "value", "above"]
+    """One row per page: its signs in three arrays."""
     for frame in frames:
         rows, seen = [], set()
         for site, page in zip(frame["host"], frame["html"]):
-            whole, found, above = _signs(page)
-            # A copy on the same host adds nothing.
+            whole, found = _signs(page)
             if (site, whole) not in seen:
                 seen.add((site, whole))
-                rows += [(site, whole, kind, node, value, None) for kind, node, value in found]
-            for node, nodes in above.items():
-                if (site, node, None) not in seen:
-                    seen.add((site, node, None))
-                    rows.append((site, 0, _ABOVE, node, 0, list(nodes)))
-        yield pd.DataFrame(rows, columns=columns)
+                rows.append((site, whole, *(map(list, zip(*sorted(found))) if found else ([], [], []))))
+        yield pd.DataFrame(rows, columns=["host", "page", "kind", "node", "value"])
 
 
 def unimportant(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """host, cut: the nodes of each host's style tree below ``LEAST``."""
-    given = pages.select(host(F.col(f"`{url}`")).alias("host"), F.col(f"`{html}`").alias("html")).where("host IS NOT NULL")
-    signs = cut_lineage(given.mapInPandas(
-        _emit, "host string, page long, kind int, node long, value long, above array<long>"
-    ).withColumn("host", F.xxhash64("host")).dropDuplicates(["host", "node", "kind", "value", "page"]))
-    held = signs.where(F.col("kind") != _ABOVE).groupBy("host", "node", "kind", "value").agg(
-        F.count("*").alias("c")
+    site = host(F.col(f"`{url}`"))
+    given = pages.where(site.isNotNull()).select(F.xxhash64(site).alias("host"), F.col(f"`{html}`").alias("html"))
+    # Pages first, so that copies go before their signs are counted.
+    distinct = given.mapInPandas(
+        _emit, "host long, page long, kind array<int>, node array<long>, value array<long>"
+    ).dropDuplicates(["host", "page"])
+    held = (
+        distinct.select("host", F.inline(F.arrays_zip("kind", "node", "value")))
+        .groupBy("host", "node", "kind", "value").agg(F.count("*").alias("c"))
     )
     sums = held.groupBy("host", "node").agg(
         F.max(F.when(F.col("kind") == _PAGES, F.col("c"))).alias("pages"),
+        # A node is its chain of labels, so the nodes above it are always the same.
+        F.collect_set(F.when(F.col("kind") == _ABOVE, F.col("value"))).alias("above"),
         *[
             F.sum(F.when(F.col("kind") == kind, value)).alias(f"{name}_{part}")
             for kind, name in ((_STYLE, "style"), (_TEXT, "text"))
@@ -102,23 +101,18 @@ def unimportant(pages: DataFrame, html: str = "html", url: str = "url") -> DataF
     ).where(F.col("pages") >= LEAST_PAGES)
     most = F.log("pages")
     nodes = cut_lineage(sums.select(
-        "host", "node", F.col("style_kinds").alias("kinds"),
+        "host", "node", "above", F.col("style_kinds").alias("kinds"),
         ((F.log("style_n") - F.col("style_log") / F.col("style_n")) / most).alias("presentation"),
         F.col("text_n").alias("n"), (F.col("text_n") - F.col("text_log") / most).alias("content"),
     ))
-    above = (
-        signs.where(F.col("kind") == _ABOVE).groupBy("host", "node").agg(F.first("above").alias("above"))
-    )
     under = (
-        nodes.where("n > 0").join(above, ["host", "node"])
-        .select("host", F.explode("above").alias("node"), "n", "content")
-        .groupBy("host", "node").agg((F.sum("content") / F.sum("n")).alias("content"))
+        nodes.where("n > 0").select("host", F.explode("above").alias("node"), "n", "content")
+        .groupBy("host", "node").agg((F.sum("content") / F.sum("n")).alias("below"))
     )
     fade = F.pow(F.lit(GAMMA), F.col("kinds"))
     importance = (1 - fade) * F.least(F.col("presentation"), F.lit(1.0)) + fade * F.col("below")
     return cut_lineage(
-        nodes.select("host", "node", "kinds", "presentation")
-        .join(under.withColumnRenamed("content", "below"), ["host", "node"])
+        nodes.select("host", "node", "kinds", "presentation").join(under, ["host", "node"])
         .where(importance < LEAST).groupBy("host").agg(F.collect_set("node").alias("cut"))
     )
 
