@@ -1,0 +1,354 @@
+"""Operators with exact results against brute force: SimHash, decontamination, suffixes, packing, counts."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+
+from tests.llm.cases import frame, odd_rows, random_text
+from wordlode.llm import count, decontaminate, pack, simhash, suffix
+from wordlode.llm.components import components
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def ascii_lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+# SimHash
+
+
+def brute_fingerprint(text, shingle=4):
+    words = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text))
+    shingles = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(values, radius):
+    values = sorted(values)
+    root = {v: v for v in values}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= radius:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {v: find(v) for v in values}
+
+
+def test_simhash_groups(spark):
+    rows = [r for r in odd_rows() if r[1] is None or len(r[1]) < 50_000]
+    got = Counter(tuple(r) for r in simhash.groups(frame(spark, rows)).collect())
+    fps = [brute_fingerprint(r[1]) for r in rows]
+    root = brute_components(set(fps), 4)
+    least = {}
+    for r, f in zip(rows, fps):
+        if r[0] is not None:
+            least[root[f]] = min(least.get(root[f], r[0]), r[0])
+    assert got == Counter((r[0], format(f, "016x"), least.get(root[f])) for r, f in zip(rows, fps))
+
+
+@pytest.mark.parametrize("shard", [6, 50_000])
+def test_bk_trees_lose_no_link(spark, shard):
+    rnd = random.Random(5)
+    values = {rnd.getrandbits(64) for _ in range(150)} | {0, (1 << 64) - 1}
+    for v in list(values)[:60]:
+        for _ in range(4):
+            for _ in range(rnd.randint(1, 5)):
+                v ^= 1 << rnd.randrange(64)
+            values.add(v)
+    signed = {int(np.uint64(v).view(np.int64)) for v in values}
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    found = components(simhash.links(fps, 4, shard)).collect()
+    groups = {r["node"]: r["root"] for r in found}
+    want = brute_components(values, 4)
+    parts = {}
+    for v in values:
+        parts.setdefault(want[v], set()).add(int(np.uint64(v).view(np.int64)))
+    by_root = {}
+    for v in signed:
+        by_root.setdefault(groups.get(v, v), set()).add(v)
+    assert sorted(map(sorted, parts.values())) == sorted(map(sorted, by_root.values()))
+
+
+def test_tight_cluster_needs_few_links():
+    values = np.array(sorted({(1 << 63) ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(40)}), np.uint64)
+    shard = simhash._Shard(values, 4)
+    assert len(shard.links) < 4 * len(values)
+    assert set(simhash._stars(shard.links, len(values)).tolist()) == {0}
+
+
+def test_more_blocks_for_more_fingerprints():
+    few, many = simhash._blocks(1000, 4), simhash._blocks(10**9, 4)
+    assert len(few) == 5 and len(many) > 5
+    a = random.Random(2).getrandbits(64)
+    for masks in (few, many):
+        for _ in range(200):
+            b = a
+            for bit in random.sample(range(64), 4):
+                b ^= 1 << bit
+            assert any(a & m == b & m for m in masks)
+
+
+def test_representatives_keep_one_row_each(spark):
+    rows = [r for r in odd_rows() if r[1] is None or len(r[1]) < 50_000]
+    docs = frame(spark, rows)
+    got = simhash.representatives(docs).collect()
+    assert simhash.representatives(docs).columns == docs.columns
+    root = brute_components({brute_fingerprint(r[1]) for r in rows}, 4)
+    kept = [root[brute_fingerprint(r["text"])] for r in got]
+    assert sorted(kept) == sorted(set(root.values()))
+    for r in got:
+        same = [x[0] for x in rows if root[brute_fingerprint(x[1])] == root[brute_fingerprint(r["text"])]]
+        ids = [d for d in same if d is not None]
+        assert r["doc_id"] == (min(ids) if ids else None)
+
+
+def test_components_of_a_long_chain(spark):
+    pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+# Decontamination
+
+
+def brute_overlaps(docs, items, size):
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {}
+    for key, text in items:
+        words = pattern.findall(ascii_lower(text))
+        for i in range(max(1, len(words) - size + 1) if words else 0):
+            windows.setdefault(tuple(words[i : i + size]), set()).add(key)
+    lengths = {len(w) for w in windows}
+    for _, text in docs:
+        words = pattern.findall(ascii_lower(text))
+        hit, found = set(), set()
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                if tuple(words[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+                    found |= windows[tuple(words[i : i + n])]
+        names = sorted(str(k) for k in found if k is not None)
+        yield len(words), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)
+
+
+@pytest.mark.parametrize("shard_chars", [300, 2_000_000])
+def test_overlaps(spark, shard_chars):
+    rnd = random.Random(3)
+    items = [(i, random_text(rnd, rnd.randint(0, 40))) for i in range(30)]
+    items += [(30, "Three Short words"), (31, None), (32, " .!? "), (None, random_text(rnd, 15)), (5, items[6][1])]
+    rows = odd_rows()
+    for i in range(80):
+        text = random_text(rnd, rnd.randint(0, 30))
+        held = rnd.choice(items)[1] or ""
+        start = rnd.randint(0, 5)
+        text += "--" + re.sub(" ", lambda m: rnd.choice([" ", ", ", "\n"]), re.sub("[a-z]", lambda m: m[0].upper(), held[start:])) + "! " + text[:20]
+        rows.append((1000 + i, text, "en", "s", 1))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.overlaps(frame(spark, rows), table, size=10, shard_chars=shard_chars).collect()
+    got = Counter(
+        (r["row"]["doc_id"], r["result"]["n_words"], r["result"]["n_hit"], r["result"]["n_items"],
+         r["result"]["items_sha256"], r["result"]["contaminated"]) for r in found
+    )
+    want = Counter((r[0], *x) for r, x in zip(rows, brute_overlaps([r[:2] for r in rows], items, 10)))
+    assert got == want
+    assert sum(n for r, n in want.items() if r[-1]) > 20
+    for r in found:
+        spans = [r["row"]["text"][s["start"] : s["end"]] for s in r["result"]["spans"]]
+        assert sum(len(decontaminate.words(s)) for s in spans) == r["result"]["n_hit"]
+
+
+def test_overlaps_without_items(spark):
+    items = spark.createDataFrame([], "item_id long, text string")
+    found = decontaminate.overlaps(frame(spark, odd_rows()), items).collect()
+    assert len(found) == len(odd_rows()) and not any(r["result"]["contaminated"] for r in found)
+
+
+# Suffixes
+
+
+def brute_suffix(rows, size):
+    first = {}
+    data = [(d, (t or "").encode()) for d, t in rows]
+    for d, b in data:
+        for p in range(len(b) - size + 1 if d is not None else 0):
+            s = b[p : p + size]
+            first[s] = min(first.get(s, (d, p)), (d, p))
+    for d, b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - size + 1 if d is not None else 0):
+            if first[b[p : p + size]] < (d, p):
+                gone[p : p + size] = b"\1" * size
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        starts = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
+        yield d, len(b), sum(gone), starts, hashlib.sha256(kept).hexdigest()
+
+
+def copied_rows(seed):
+    rnd = random.Random(seed)
+    passages = [random_text(rnd, 60) for _ in range(6)]
+    rows = odd_rows(seed)
+    for i in range(150):
+        text = random_text(rnd, rnd.randint(0, 60))
+        for _ in range(rnd.randint(0, 3)):
+            p = rnd.choice(passages)
+            a = rnd.randint(0, len(p) // 2)
+            text += " " + p[a : a + rnd.randint(20, 300)] + " " + random_text(rnd, 1)
+        if rnd.random() < 0.3:
+            text = rnd.choice(rows)[1] or ""
+            j = rnd.randrange(len(text)) if text else 0
+            text = text[:j] + "X" + text[j + 1 :] if rnd.random() < 0.6 else text
+        if rnd.random() < 0.05:
+            text = "ab"[: rnd.randint(1, 2)] * rnd.randint(0, 300)
+        rows.append((rnd.randint(-50, 500), text, "en", "s", 1))
+    return rows
+
+
+@pytest.mark.parametrize("size,many,block", [(100, 5000, 1 << 20), (100, 2, 1 << 20), (24, 5000, 1 << 20)])
+def test_removed_bytes(spark, size, many, block):
+    rows = copied_rows(size + many)
+    found = suffix.remove(frame(spark, rows), size=size, many=many).collect()
+    got = Counter((r["row"]["doc_id"], *tuple(r["result"])[:4]) for r in found)
+    assert got == Counter(brute_suffix([r[:2] for r in rows], size))
+    for r in found:
+        assert hashlib.sha256(bytes(r["result"]["kept"])).hexdigest() == r["result"]["kept_sha256"]
+
+
+def test_blocks_of_a_long_text(monkeypatch):
+    rnd = random.Random(9)
+    texts = [random_text(rnd, 800).encode(), b"", b"q" * 5000, random_text(rnd, 10).encode()]
+    size = 100
+
+    def owned():
+        parts = list(suffix._stretches(texts, size))
+        text, at, first, last, gram, _ = (np.concatenate(x) for x in zip(*parts))
+        return {
+            (t, p): (int(a) - p, int(g)) for t, a, x, y, g in zip(text.tolist(), at, first, last, gram)
+            for p in range(int(x), int(y) + 1)
+        }
+
+    whole = owned()
+    assert set(whole) == {(i, p) for i, t in enumerate(texts) for p in range(len(t) - size + 1)}
+    monkeypatch.setattr(suffix, "BLOCK", 1 << 10)
+    monkeypatch.setattr(suffix, "_INDEX", np.uint64((1 << 10) - 1))
+    assert set(owned()) == set(whole)
+
+
+# Packing
+
+
+def check_packing(pieces, docs, tokenizer, length=1024):
+    """Each token is in one piece, sequences are gapless and all but the rest are full."""
+    by_place = sorted((p["sequence_id"], p["offset"], p["length"]) for p in pieces)
+    sizes = {}
+    for sequence, offset, n in by_place:
+        assert offset == sizes.get(sequence, 0) and n > 0
+        sizes[sequence] = offset + n
+    assert sorted(sizes) == list(range(len(sizes)))
+    assert all(n == length or n & (n - 1) == 0 for n in sizes.values())
+    want = Counter()
+    for doc, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        want[doc, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    parts = Counter()
+    for p in pieces:
+        parts[p["doc_id"], p["doc_tokens"]] += p["length"]
+    assert sum(parts.values()) == sum(n * c for (_, n, _), c in want.items())
+    whole = Counter(
+        (p["doc_id"], p["doc_tokens"], p["ids_crc32"]) for p in pieces if p["length"] == p["doc_tokens"]
+    )
+    assert whole <= want
+    encoded = {}
+    for doc, text in docs:
+        ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        encoded.setdefault((doc, len(ids)), []).append(ids)
+    for p in pieces:
+        a, b = p["start"], p["start"] + p["length"]
+        assert any(
+            zlib.crc32(ids[a:b].tobytes()) == p["ids_crc32"] for ids in encoded[p["doc_id"], p["doc_tokens"]]
+        )
+
+
+def test_pack(spark):
+    from tokenizers import Tokenizer
+
+    rows = odd_rows() + [(900, "<|endoftext|> it's <|endoftext|>", None, None, 1), (901, " \n a  b\x85 c", None, None, 1)]
+    pieces = pack.pack(frame(spark, rows), BPE).collect()
+    check_packing([p.asDict() for p in pieces], [r[:2] for r in rows], Tokenizer.from_file(BPE))
+
+
+def test_pack_nothing(spark):
+    assert pack.pack(frame(spark, []), BPE).count() == 0
+
+
+def test_tail_needs_no_padding():
+    full, tail = pack.edges(3 * 1024 + 1 + 4 + 256, 1024)
+    assert (full, tail) == (3, [3072, 3328, 3332])
+    assert pack.edges(0, 1024) == (0, [])
+
+
+@pytest.mark.parametrize("dims,bits", [(2, 4), (3, 3)])
+def test_hilbert_neighbours(dims, bits):
+    grid = np.array(np.meshgrid(*[np.arange(1 << bits)] * dims)).reshape(dims, -1).T
+    keys = pack.hilbert(grid, bits)
+    assert sorted(keys.tolist()) == list(range(len(grid)))
+    steps = np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(axis=1)
+    assert set(steps.tolist()) == {1}
+
+
+def test_near_documents_have_near_keys():
+    from wordlode.llm.pack import directions, encoder, point
+
+    rnd = random.Random(4)
+    hashed, axes = directions()
+    base = [random_text(rnd, 200) for _ in range(30)]
+    near = [b + " one more word" for b in base]
+    points = [point(np.frombuffer(i, "<u2"), hashed, axes) for i in encoder(BPE)(base + near)]
+    gap = lambda a, b: np.abs(points[a] - points[b]).sum()
+    assert sum(gap(i, i + 30) < gap(i, (i + 1) % 30) for i in range(30)) >= 28
+
+
+# Token counts
+
+
+def test_counts_match_the_tokenizer(spark):
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer, models
+
+    model = SentencePieceProcessor(model_file=PIECES)
+    pieces = [(model.id_to_piece(i), float(model.get_score(i))) for i in range(model.get_piece_size())]
+    exact = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    rnd = random.Random(7)
+    rows = odd_rows() + [
+        (i, "".join(rnd.choice("ab  eé\n日😀theing▁.,0\t") for _ in range(rnd.randint(0, 60))), None, None, 1)
+        for i in range(300)
+    ]
+    found = count.token_counts(frame(spark, rows), PIECES).collect()
+    want = Counter(
+        (r[0], len(exact.encode("▁" + r[1].replace(" ", "▁")).ids) if r[1] else 0) for r in rows
+    )
+    assert Counter((r["row"]["doc_id"], r["result"]) for r in found) == want
+
+
+def test_ties_go_to_the_longest_piece():
+    counter = count.Counter([("▁", 0.0), ("▁a", -1.0), ("a", -1.0), ("ab", -2.0), ("b", -1.0), ("▁ab", -2.0), ("c", -9.0)])
+    # All ways over "▁ab" cost 2; the one piece that ends last and starts first wins.
+    assert counter.count("ab") == 1
+    assert counter.count("é") == 3
