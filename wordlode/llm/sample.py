@@ -32,10 +32,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_
         .groupBy("doc_id").agg(F.min("label").alias("label"))
     )
     usable = docs.where(F.length("text").between(1, max_chars))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Ids first: the texts of the few rows taken are read again, not shuffled.
+    order = Window.partitionBy("label").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
+    # Ids first: the texts of the few rows taken are read again, not shuffled. A share of
+    # the hashes that holds the sample many times over keeps the window small.
+    known = cut_lineage(learned.join(usable.select("doc_id").distinct(), "doc_id"))
+    sizes = known.groupBy("label").agg(F.count("*").alias("size"))
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("size") < F.lit((1 << 20) * 8 * (per_class + 25))
     chosen = cut_lineage(
-        learned.join(usable.select("doc_id").distinct(), "doc_id")
+        known.join(F.broadcast(sizes), "label").where(near)
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class)
         .select("doc_id", "label")
     )
