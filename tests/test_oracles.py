@@ -27,11 +27,6 @@ def test_entry(spark):
     assert df.columns == ["word", "freq", "score"] and df.count() == 100
 
 
-def test_trained_queries(spark):
-    vectors = queries()["word_vectors"](spark, SF)
-    seeds = queries()["seed_vectors"](spark, SF)
-    words = {r["word"] for r in vectors.select("word").collect()}
-    assert words and {len(r["vector"]) for r in vectors.collect()} == {16}
-    assert {r["word"] for r in seeds.select("word").collect()} <= words
+def test_whole_job(spark):
     mined = queries()["mined_vocabulary"](spark, SF)
     assert mined.columns == ["word", "score"] and mined.count() <= 100

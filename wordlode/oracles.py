@@ -7,8 +7,8 @@ from wordlode.profiles import LATIN
 
 SEP = r"[^\p{L}]+"
 ENDS = "[" + LATIN.sentence_delimiters.replace("\n", r"\n") + "]+"
-STEPS = 10
-LEVELS = 6
+# Ranks rest when all together move by less in a step.
+TOLERANCE = 1e-5
 
 
 def _words(text, lower=True):
@@ -30,9 +30,10 @@ def _with(*parts, recursive=False):
 VOCAB = f"""vocab AS (SELECT DISTINCT key FROM (SELECT unnest({_words('text')}) AS key FROM benchmark)
   WHERE length(key) >= 5)"""
 GAZ = f"gaz AS (SELECT DISTINCT unnest({_words('p_name')}) AS key FROM part)"
-DOMAIN = "domain AS (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))"
-BACKGROUND = """background AS (SELECT * FROM documents
-  WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1))"""
+DOMAIN = """domain AS MATERIALIZED (SELECT * FROM documents
+  SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) USING (doc_id))"""
+BACKGROUND = """background AS MATERIALIZED (SELECT * FROM documents
+  ANTI JOIN (SELECT doc_id FROM labels WHERE quality = 1) USING (doc_id))"""
 STOP = f"""stop AS (SELECT txt FROM (SELECT txt, count(DISTINCT doc_id) AS n
   FROM (SELECT doc_id, unnest({_words('text')}) AS txt FROM documents)
   GROUP BY txt ORDER BY n DESC, txt LIMIT 50))"""
@@ -77,15 +78,21 @@ def _both_ways(pairs="pairs", keys="", name="edges"):
 
 
 def _corpus_rank(edges="edges", name="ranks"):
-    """A fixed number of steps on one graph."""
-    return f"""{name}_deg AS (SELECT src, count(*) AS deg FROM {edges} GROUP BY src),
-{name}_n AS (SELECT count(*) AS n FROM {name}_deg),
-{name}_all AS (SELECT 0 AS step, src AS node, 1.0::DOUBLE / n AS rank FROM {name}_deg, {name}_n
+    """Steps on one graph until it rests."""
+    return f"""{name}_deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM {edges} GROUP BY src),
+{name}_flow AS MATERIALIZED (SELECT e.src, e.dst, 1.0::DOUBLE / deg AS share, 0.0::DOUBLE AS own
+  FROM {edges} e JOIN {name}_deg d ON e.src = d.src
+  UNION ALL SELECT src, src, 0.0, 1.0 FROM {name}_deg),
+{name}_all AS (
+  SELECT src AS node, 1.0::DOUBLE / n AS rank, n, true AS moving, 0 AS step
+  FROM (SELECT src, count(*) OVER () AS n FROM {name}_deg)
   UNION ALL
-  SELECT any_value(step) + 1, e.dst, 0.15 / any_value(n) + 0.85 * sum(r.rank / d.deg)
-  FROM {name}_all r JOIN {edges} e ON r.node = e.src JOIN {name}_deg d ON r.node = d.src, {name}_n
-  WHERE step < {STEPS} GROUP BY e.dst),
-{name} AS (SELECT node AS word, rank AS weight FROM {name}_all WHERE step = {STEPS})"""
+  SELECT node, rank, n, sum(abs(rank - old)) OVER () >= {TOLERANCE}, step
+  FROM (SELECT f.dst AS node, any_value(r.n) AS n, any_value(r.step) + 1 AS step,
+      0.15 / any_value(r.n) + 0.85 * sum(r.rank * f.share) AS rank, sum(r.rank * f.own) AS old
+    FROM {name}_all r JOIN {name}_flow f ON r.node = f.src
+    WHERE r.moving AND r.step < 1000 GROUP BY f.dst)),
+{name} AS MATERIALIZED (SELECT node AS word, rank AS weight FROM {name}_all WHERE NOT moving)"""
 
 
 def _group_rank(flow, nodes, keys, name="ranks"):
@@ -96,18 +103,18 @@ def _group_rank(flow, nodes, keys, name="ranks"):
     cols = keys.split(", ")
     r_keys = ", ".join(f"r.{k}" for k in cols)
     on = " AND ".join(f"r.{k} = f.{k}" for k in cols)
-    return f"""{name}_flow AS (SELECT {keys}, src, dst, share, 0.0::DOUBLE AS own FROM {flow}
+    return f"""{name}_flow AS MATERIALIZED (SELECT {keys}, src, dst, share, 0.0::DOUBLE AS own FROM {flow}
   UNION ALL SELECT {keys}, node, node, 0.0, 1.0 FROM {nodes}),
 {name}_all AS (
   SELECT {keys}, node, 1.0::DOUBLE / n AS rank, n, true AS moving, 0 AS step
   FROM (SELECT *, count(*) OVER (PARTITION BY {keys}) AS n FROM {nodes})
   UNION ALL
   SELECT {keys}, node, rank, n,
-    sum(abs(rank - old)) OVER (PARTITION BY {keys}) >= n * 1e-6, step
+    sum(abs(rank - old)) OVER (PARTITION BY {keys}) >= {TOLERANCE}, step
   FROM (SELECT {r_keys}, f.dst AS node, any_value(r.n) AS n, any_value(r.step) + 1 AS step,
       0.15 / any_value(r.n) + 0.85 * sum(r.rank * f.share) AS rank, sum(r.rank * f.own) AS old
     FROM {name}_all r JOIN {name}_flow f ON {on} AND r.node = f.src
-    WHERE r.moving AND r.step < 100 GROUP BY {r_keys}, f.dst)),
+    WHERE r.moving AND r.step < 1000 GROUP BY {r_keys}, f.dst)),
 {name} AS (SELECT {keys}, node, rank FROM {name}_all WHERE NOT moving)"""
 
 
@@ -118,20 +125,29 @@ def _word_rank(keys, edges="edges"):
     return f"{flow},\n{nodes},\n{_group_rank('flow', 'nodes', keys)}"
 
 
-def _aligned():
-    return ",\n".join([DOMAIN, BACKGROUND, _freq("d", "domain"), _freq("b", "background"), """aligned AS (
-  SELECT coalesce(d.word, b.word) AS word, d.freq::DOUBLE AS domain, b.freq::DOUBLE AS background
-  FROM d FULL OUTER JOIN b ON d.word = b.word),
-scaled AS (SELECT word, domain,
-    background * (SELECT sum(domain) / sum(background) FROM aligned) AS background FROM aligned)"""])
+def _aligned(d="SELECT word, freq FROM d0", b="SELECT word, freq FROM b0"):
+    """Both frequency tables side by side, each counted once."""
+    return f"""d AS MATERIALIZED ({d}), b AS MATERIALIZED ({b}),
+aligned AS MATERIALIZED (
+  SELECT word, sum(domain) AS domain, sum(background) AS background FROM (
+    SELECT word, freq::DOUBLE AS domain, NULL::DOUBLE AS background FROM d
+    UNION ALL SELECT word, NULL, freq::DOUBLE FROM b) GROUP BY word),
+scale AS MATERIALIZED (SELECT sum(domain) / sum(background) AS by FROM aligned),
+scaled AS MATERIALIZED (SELECT word, domain, background * scale.by AS background FROM aligned, scale)"""
+
+
+def _word_tables(text="text"):
+    return ",\n".join([
+        DOMAIN, BACKGROUND, _freq("d0", "domain", text), _freq("b0", "background", text), _aligned(),
+    ])
 
 
 def _ratio(missing, aligned=None):
     fill = "coalesce({0}, 0) AS {0}" if missing == "zero" else "{0}"
-    return (aligned or _aligned()) + f""",
+    return (aligned or _word_tables()) + f""",
 filled AS (SELECT word, {fill.format('domain')}, {fill.format('background')} FROM scaled),
-totals AS (SELECT *, domain + background AS total FROM filled),
-mass AS (SELECT sum(domain) / sum(total) AS alpha, avg(total) AS mean FROM totals),
+totals AS MATERIALIZED (SELECT *, domain + background AS total FROM filled),
+mass AS MATERIALIZED (SELECT sum(domain) / sum(total) AS alpha, avg(total) AS mean FROM totals),
 ratio AS (SELECT word, domain, (domain + mean * alpha) / (total + mean) AS score FROM totals, mass)"""
 
 
@@ -146,18 +162,30 @@ LATIN_RULES = r"""regexp_matches(word, '\p{L}') AND length(word) >= 2 AND NOT re
   AND NOT (length(word) = 4 AND (contains(word, 'sh') OR contains(word, 'th')))"""
 
 
-def _runs(text="lower(text)", source="documents"):
-    return f"""runs AS (SELECT run, count(*) AS n
+def _runs(text="lower(text)", source="documents", p=""):
+    """Runs of letters, and how strongly neighbouring characters hold together."""
+    return f"""{p}runs AS MATERIALIZED (SELECT run, count(*) AS n
   FROM (SELECT unnest(string_split_regex({text}, '{SEP}')) AS run FROM {source})
   WHERE run <> '' GROUP BY run),
-chars AS (SELECT run, n, i, substring(run, i, 1) AS ch
-  FROM (SELECT run, n, unnest(range(1, length(run) + 1)) AS i FROM runs)),
-ch AS (SELECT ch, sum(n) AS n FROM chars GROUP BY ch),
-pair AS (SELECT x.ch AS a, y.ch AS b, sum(x.n)::BIGINT AS n FROM chars x JOIN chars y
+{p}chars AS MATERIALIZED (SELECT run, n, i, substring(run, i, 1) AS ch
+  FROM (SELECT run, n, unnest(range(1, length(run) + 1)) AS i FROM {p}runs)),
+{p}ch AS (SELECT ch, sum(n) AS n FROM {p}chars GROUP BY ch),
+{p}pair AS MATERIALIZED (SELECT x.ch AS a, y.ch AS b, sum(x.n)::BIGINT AS n FROM {p}chars x JOIN {p}chars y
   ON x.run = y.run AND y.i = x.i + 1 GROUP BY x.ch, y.ch),
-t AS (SELECT sum(n)::DOUBLE AS t FROM pair),
-pmi AS (SELECT a, b, pair.n, ln(pair.n * t / (ca.n * cb.n)) AS pmi
-  FROM pair JOIN ch ca ON ca.ch = a JOIN ch cb ON cb.ch = b, t WHERE pair.n / t > 1e-6)"""
+{p}t AS MATERIALIZED (SELECT sum(n)::DOUBLE AS t FROM {p}pair),
+{p}pmi AS MATERIALIZED (SELECT a, b, pair.n, ln(pair.n * t / (ca.n * cb.n)) AS pmi
+  FROM {p}pair pair JOIN {p}ch ca ON ca.ch = a JOIN {p}ch cb ON cb.ch = b, {p}t WHERE pair.n / t > 1e-6)"""
+
+
+def _pieces(p=""):
+    """Runs cut where two characters hold together weakly, with their number."""
+    return f"""{p}cuts AS (SELECT y.run, y.n, y.i, y.ch, coalesce(pmi.pmi < 0.5, true) AS brk
+  FROM {p}chars y LEFT JOIN {p}chars x ON x.run = y.run AND x.i = y.i - 1
+  LEFT JOIN {p}pmi pmi ON pmi.a = x.ch AND pmi.b = y.ch),
+{p}numbered AS (SELECT *, sum(brk::INTEGER) OVER (PARTITION BY run ORDER BY i) AS piece FROM {p}cuts),
+{p}pieces AS (SELECT run, n, string_agg(ch, '' ORDER BY i) AS word FROM {p}numbered GROUP BY run, n, piece),
+{p}found AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS freq FROM {p}pieces, {p}t GROUP BY word, t
+  HAVING sum(n) / t > 1e-6)"""
 
 
 def _inside(outer, word, terms):
@@ -179,17 +207,69 @@ def _nearest(query="v", k=200):
   FROM {query} q, v) WHERE n <= {k})"""
 
 
-def _expansion():
-    parts = [VECTORS, _nearest(),
-             "c0 AS (SELECT word, 0 AS depth, 1.0::DOUBLE AS score FROM v WHERE label = 0)"]
-    for d in range(LEVELS):
-        parts.append(f"""o{d} AS (SELECT s.word, {d + 1} AS depth, max(score * sim) AS score
-  FROM c{d} JOIN sims s ON s.query = c{d}.word
-  WHERE depth = {d} AND sim >= 0.3 + 0.7 * (1 - exp(-0.25 * {d})) AND NOT contains(s.word, '7')
-  GROUP BY s.word),
-c{d + 1} AS (SELECT word, min(depth) AS depth, max(score) AS score
-  FROM (SELECT * FROM c{d} UNION ALL SELECT * FROM o{d}) GROUP BY word)""")
-    return ",\n".join(parts)
+def _floor(least, alpha):
+    return f"{least} + {1 - least:.1f} * (1 - exp(-{alpha} * c.depth))"
+
+
+def _expansion(vectors=VECTORS, seeds="label = 0", least=0.3, alpha=0.25):
+    """Level by level until no word joins; a word's own link carries it to the next level."""
+    return ",\n".join([vectors, _nearest().replace("sims AS (", "sims AS MATERIALIZED (", 1), f"""
+links AS MATERIALIZED (SELECT query, word, sim, false AS own FROM sims WHERE NOT contains(word, '7')
+  UNION ALL SELECT word, word, 1.0, true FROM v),
+levels AS (
+  SELECT word, 0 AS depth, 1.0::DOUBLE AS score, 0 AS step, true AS open FROM v WHERE {seeds}
+  UNION ALL
+  SELECT word, depth, score, step, max(depth) OVER () = step
+  FROM (SELECT l.word, min(CASE WHEN l.own THEN c.depth ELSE c.step + 1 END) AS depth,
+      max(c.score * l.sim) AS score, c.step + 1 AS step
+    FROM levels c JOIN links l ON l.query = c.word
+    WHERE c.open AND (l.own OR (c.depth = c.step AND l.sim >= {_floor(least, alpha)}))
+    GROUP BY l.word, c.step)),
+cluster AS MATERIALIZED (SELECT word, depth, score FROM levels WHERE NOT open)"""])
+
+
+FLAT = VECTORS.replace("embedding::DOUBLE[] AS vector", "embedding[1:3]::DOUBLE[] AS vector")
+DEEP = (FLAT, "label = 0 AND length(word) <= 2", 0.9, 0.05)
+FIXPOINT = f"""kept AS MATERIALIZED (SELECT l.* FROM links l JOIN cluster c ON l.query = c.word
+  WHERE l.own OR l.sim >= {_floor(0.9, 0.05)}),
+raised AS (
+  SELECT word, depth, score, true AS moving, 0 AS step FROM cluster
+  UNION ALL
+  SELECT word, depth, score, max(score - old) OVER () > 1e-12, step
+  FROM (SELECT l.word, max(CASE WHEN l.own THEN c.depth END) AS depth, max(c.score * l.sim) AS score,
+      max(CASE WHEN l.own THEN c.score END) AS old, c.step + 1 AS step
+    FROM raised c JOIN kept l ON l.query = c.word WHERE c.moving GROUP BY l.word, c.step))"""
+
+
+def _contrast():
+    """Keywords of dt that are none of bt, both sentence tokens, without stop words."""
+    def side(p, tokens):
+        return ",\n".join([
+            f"""{p}kept AS MATERIALIZED (SELECT doc_id, sent_id, word,
+    row_number() OVER (PARTITION BY doc_id, sent_id ORDER BY pos) AS pos
+  FROM {tokens} ANTI JOIN stop ON word = txt)""",
+            _pairs(2, f"{p}kept", name=f"{p}p"), _both_ways(f"{p}p", name=f"{p}e").replace(
+                f"{p}e AS (", f"{p}e AS MATERIALIZED (", 1),
+            _corpus_rank(f"{p}e", f"{p}r"),
+            f"""{p}k AS (SELECT *, row_number() OVER (ORDER BY round(weight, 9) DESC, word) AS n
+  FROM {p}r WHERE length(word) >= 2)""",
+        ])
+
+    return ",\n".join([side("d", "dt"), side("b", "bt"), """sizes AS (
+  SELECT least(n // 4, 1000) AS d, least(m // 8, 500, least(n // 4, 1000)) AS b
+  FROM (SELECT count(*) AS n FROM domain), (SELECT count(*) AS m FROM background)),
+keywords AS (SELECT word, weight FROM dk, sizes WHERE n <= d
+  AND word NOT IN (SELECT word FROM bk, sizes WHERE n <= b))"""])
+
+
+def _clean_sentences(source, name, tokens):
+    """Cleaned lower-case sentences of a corpus and their words."""
+    return ",\n".join([
+        _sentences(source, name=name + "0"),
+        f"""{name} AS MATERIALIZED (SELECT doc_id, sent_id, lower({_clean('sentence')}) AS text FROM {name}0)""",
+        f"""{tokens} AS (SELECT doc_id, sent_id, unnest(t) AS word, generate_subscripts(t, 1) AS pos
+  FROM (SELECT doc_id, sent_id, {_words('text')} AS t FROM {name}))""",
+    ])
 
 
 def _list(values):
@@ -218,11 +298,13 @@ FROM found JOIN pages USING (page_id)""",
     "clean_chain": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
     "lexical_rules": _with(CANDIDATES) + f"SELECT word FROM cand WHERE {LATIN_RULES}",
     "charset_filter": _with(
-        r"""pieces AS (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS word FROM documents)""",
-        f"charset AS (SELECT unnest(string_split({_list(GB2312)}, '')) AS ch)",
-        """used AS (SELECT word, unnest(string_split(word, '')) AS ch FROM pieces)""",
-    ) + """SELECT word FROM pieces WHERE NOT regexp_matches(word, '[~!@#$%^&* ]')
-AND word NOT IN (SELECT word FROM used WHERE ch <> '' AND ch NOT IN (SELECT ch FROM charset))""",
+        r"""pieces AS MATERIALIZED (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS word FROM documents)""",
+        f"charset AS MATERIALIZED (SELECT unnest(string_split({_list(GB2312)}, '')) AS ch)",
+        """marks AS MATERIALIZED (SELECT word, unnest(string_split(word, '')) AS ch FROM pieces WHERE word <> ''),
+foreign_marks AS MATERIALIZED (SELECT ch FROM (SELECT DISTINCT ch FROM marks WHERE ch <> '') ANTI JOIN charset USING (ch)),
+outside AS MATERIALIZED (SELECT DISTINCT word FROM marks SEMI JOIN foreign_marks USING (ch))""",
+    ) + """SELECT word FROM pieces ANTI JOIN outside USING (word)
+WHERE NOT regexp_matches(word, '[~!@#$%^&* ]')""",
     "sentence_split": _with(_sentences()) + "SELECT doc_id, sent_id, sentence FROM sent",
     "tokenize": f"""SELECT doc_id, (generate_subscripts(t, 1) - 1)::INTEGER AS pos, unnest(t) AS word
 FROM (SELECT doc_id, {_words('text')} AS t FROM documents)""",
@@ -263,20 +345,13 @@ pieces AS (SELECT w.run, substring(w.run, w.pos, s.len) AS token
         _sentences("conversations", "conv_id, turn"), _sentence_words("conv_id, turn")
     ) + "SELECT conv_id, turn, sent_id, word, count(*) AS n FROM stok GROUP BY conv_id, turn, sent_id, word",
     "pair_pmi": _with(_runs()) + "SELECT a, b, n, round(pmi, 6) AS pmi FROM pmi",
-    "new_words": _with(
-        _runs(),
-        """cuts AS (SELECT y.run, y.n, y.i, y.ch, coalesce(pmi.pmi < 0.5, true) AS brk
-  FROM chars y LEFT JOIN chars x ON x.run = y.run AND x.i = y.i - 1
-  LEFT JOIN pmi ON pmi.a = x.ch AND pmi.b = y.ch),
-numbered AS (SELECT *, sum(brk::INTEGER) OVER (PARTITION BY run ORDER BY i) AS piece FROM cuts),
-pieces AS (SELECT run, n, string_agg(ch, '' ORDER BY i) AS word FROM numbered GROUP BY run, n, piece)""",
-    ) + """SELECT word, sum(n)::BIGINT AS freq FROM pieces, t GROUP BY word, t HAVING sum(n) / t > 1e-6""",
-    "aligned_vocabulary": _with(_aligned()) + "SELECT word, domain, background FROM aligned",
-    "scaled_background": _with(_aligned())
+    "new_words": _with(_runs(), _pieces()) + "SELECT word, freq FROM found",
+    "aligned_vocabulary": _with(_word_tables()) + "SELECT word, domain, background FROM aligned",
+    "scaled_background": _with(_word_tables())
     + "SELECT word, round(background, 6) AS background FROM scaled",
     "smoothed_ratio_zero": _with(_ratio("zero")) + "SELECT word, round(score, 6) AS score FROM ratio",
     "smoothed_ratio_null": _with(_ratio("null")) + "SELECT word, round(score, 6) AS score FROM ratio",
-    "specific_words": _with(_ratio("zero", _aligned().replace(_words("text"), _words(_clean("text")))))
+    "specific_words": _with(_ratio("zero", _word_tables(_clean("text"))))
     + f"""SELECT word, domain::BIGINT AS freq, round(score, 6) AS score FROM ratio WHERE {LATIN_RULES}
 ORDER BY round(score, 9) DESC, word LIMIT 100""",
     "keyword_budget": _with(DOMAIN, BACKGROUND) + """SELECT least(n // 4, 1000) AS domain_budget,
@@ -350,19 +425,24 @@ flow AS (SELECT sim.doc_id, sim.src, dst, sim / strength AS share
         _group_rank("flow", "nodes", "doc_id"), recursive=True,
     ) + """SELECT r.doc_id, node AS sent_id, round(coalesce(strength, 0), 6) AS strength, round(rank, 9) AS weight
 FROM ranks r LEFT JOIN mass m ON r.doc_id = m.doc_id AND node = src""",
+    "sentence_partners": _with(
+        _sentences(), _sentence_words(),
+        """size AS MATERIALIZED (SELECT doc_id, sent_id, count(*) AS n FROM stok GROUP BY doc_id, sent_id),
+post AS MATERIALIZED (SELECT DISTINCT doc_id, sent_id, word FROM stok),
+shared AS (SELECT x.doc_id, x.sent_id, y.sent_id AS partner, count(*) AS c FROM post x JOIN post y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND x.sent_id <> y.sent_id GROUP BY x.doc_id, x.sent_id, y.sent_id),
+sim AS (SELECT s.doc_id, s.sent_id, partner, c / (ln(a.n) + ln(b.n)) AS similarity FROM shared s
+  JOIN size a ON a.doc_id = s.doc_id AND a.sent_id = s.sent_id
+  JOIN size b ON b.doc_id = s.doc_id AND b.sent_id = partner WHERE a.n * b.n > 1)""",
+    ) + """SELECT doc_id, sent_id, rank::INTEGER AS rank, partner, round(similarity, 6) AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id
+    ORDER BY round(similarity, 9) DESC, partner) AS rank FROM sim) WHERE rank <= 3""",
     "keyword_contrast": _with(
-        DOMAIN, BACKGROUND,
+        STOP, DOMAIN, BACKGROUND,
         _sentences("domain", name="ds"), _sentence_words(sent="ds", name="dt"),
-        _pairs(2, "dt", name="dp"), _both_ways("dp", name="de"), _corpus_rank("de", "dr"),
-        _sentences("background", name="bs"), _sentence_words(sent="bs", name="bt"),
-        _pairs(2, "bt", name="bp"), _both_ways("bp", name="be"), _corpus_rank("be", "br"),
-        """sizes AS (SELECT least(n // 4, 1000) AS d, least(m // 8, 500, least(n // 4, 1000)) AS b
-  FROM (SELECT count(*) AS n FROM domain), (SELECT count(*) AS m FROM background)),
-dk AS (SELECT *, row_number() OVER (ORDER BY round(weight, 9) DESC, word) AS n FROM dr WHERE length(word) >= 2),
-bk AS (SELECT *, row_number() OVER (ORDER BY round(weight, 9) DESC, word) AS n FROM br WHERE length(word) >= 2)""",
+        _sentences("background", name="bs"), _sentence_words(sent="bs", name="bt"), _contrast(),
         recursive=True,
-    ) + """SELECT word, round(weight, 9) AS weight FROM dk, sizes WHERE n <= d
-AND word NOT IN (SELECT word FROM bk, sizes WHERE n <= b)""",
+    ) + "SELECT word, round(weight, 9) AS weight FROM keywords",
     "vector_topk": _with(VECTORS, _nearest(k=10)) + "SELECT query, word, round(sim, 6) AS sim FROM sims",
     "centroid_shift": _with(
         VECTORS,
@@ -371,11 +451,40 @@ shift AS (SELECT i, avg(x) FILTER (label = 0) - avg(x) FILTER (label = 1) AS x F
 q AS (SELECT word, list(parts.x + shift.x ORDER BY i) AS vector FROM parts JOIN shift USING (i) GROUP BY word)""",
         _nearest("q", 5),
     ) + "SELECT query, word, round(sim, 6) AS sim FROM sims",
-    "expand_scored": _with(_expansion())
-    + f"SELECT word, depth, round(score, 6) AS score FROM c{LEVELS} WHERE score >= 0.3",
-    "expand_members": _with(_expansion()) + f"SELECT word FROM c{LEVELS}",
-    "final_score": _with(_expansion()) + f"""SELECT c.word, round((label + 1) / 10.0::DOUBLE * score ** 2, 6) AS score
-FROM c{LEVELS} c LEFT JOIN v ON c.word = v.word AND label <> 3 WHERE score >= 0.3""",
+    "expand_scored": _with(_expansion(), recursive=True)
+    + "SELECT word, depth, round(score, 6) AS score FROM cluster WHERE score >= 0.3",
+    "expand_deep": _with(_expansion(*DEEP), recursive=True)
+    + "SELECT word, depth, round(score, 6) AS score FROM cluster WHERE score >= 0.9",
+    "expand_fixpoint": _with(_expansion(*DEEP), FIXPOINT, recursive=True)
+    + "SELECT word, depth, round(score, 6) AS score FROM raised WHERE NOT moving AND score >= 0.9",
+    "expand_members": _with(_expansion(), recursive=True) + "SELECT word FROM cluster",
+    "final_score": _with(_expansion(), recursive=True)
+    + """SELECT c.word, round((label + 1) / 10.0::DOUBLE * score ** 2, 6) AS score
+FROM cluster c LEFT JOIN v ON c.word = v.word AND label <> 3 WHERE score >= 0.3""",
+    "word_vectors": _with(DOMAIN, _freq("f", "domain"))
+    + "SELECT word, 16 AS n_dims, false AS broken FROM f WHERE freq >= 5",
+    "seed_vectors": _with(VOCAB, DOMAIN, _freq("f", "domain"))
+    + "SELECT word, 16 AS n_dims, false AS broken FROM f SEMI JOIN vocab ON key = word WHERE freq >= 5",
+    "mined_terms": _with(
+        STOP, VOCAB, GAZ, DOMAIN, BACKGROUND,
+        _clean_sentences("domain", "ds", "dt"), _clean_sentences("background", "bs", "bt"),
+        _runs("text", "ds", "x_"), _pieces("x_"), _runs("text", "bs", "y_"), _pieces("y_"),
+        _ratio("zero", _aligned("SELECT word, freq FROM x_found", "SELECT word, freq FROM y_found")),
+        _contrast(),
+        f"""named AS (SELECT word AS key, 'candidate' AS origin FROM ratio WHERE {LATIN_RULES}
+  UNION SELECT word, 'keyword' FROM keywords WHERE {LATIN_RULES}
+  UNION SELECT key, 'vocabulary' FROM vocab UNION SELECT key, 'gazetteer' FROM gaz)""",
+        recursive=True,
+    ) + "SELECT key, string_agg(origin, '+' ORDER BY origin) AS origin FROM named GROUP BY key",
+    "mined_screen": _with(_expansion(), """special AS (
+  SELECT c.word, (label + 1) / 10.0::DOUBLE * score AS score FROM cluster c JOIN v USING (word) WHERE score >= 0.3),
+known AS (SELECT word AS key FROM v WHERE label = 1 AND length(word) = 3),
+places AS (SELECT word AS key FROM v WHERE label = 2 AND length(word) = 2)""", recursive=True)
+    + """SELECT word, round(score, 6) AS score FROM special
+WHERE NOT contains(word, '7') AND NOT EXISTS (SELECT 1 FROM known WHERE contains(word, key))
+  AND NOT EXISTS (SELECT 1 FROM places WHERE contains(word, key))
+  AND NOT EXISTS (SELECT 1 FROM known WHERE starts_with(key, word))
+ORDER BY round(special.score, 9) DESC, word LIMIT 100""",
     "exclude_known": _with(CANDIDATES, VOCAB)
     + f"SELECT word FROM cand WHERE word NOT IN (SELECT word FROM ({_inside('cand', 'word', 'vocab')}))",
     "exclude_gazetteer": _with(CANDIDATES, GAZ)

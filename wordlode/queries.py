@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wordlode.functions import text as T
 from wordlode.functions.rows import explode_rows
 from wordlode.operators import counts, discover, expand, graph, match, textrank, vectors
-from wordlode.plans.mine import MiningConfig, mine_vocabulary, remove_stop_words
+from wordlode.plans.mine import (
+    MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
+)
 from wordlode.profiles import LATIN
-from wordlode.session import cut_lineage, shared_path, small_list, spread
+from wordlode.session import bounded_list, cut_lineage, shared_path, spread
 from wordlode.sources.tables import scan, scan_partition, write_partition
 
-STEPS = 10
 DAY, DAY_BEFORE = "20240102", "20240101"
 
 
@@ -64,7 +65,7 @@ def stop_words(spark, sf):
 
 
 def stop_list(spark, sf):
-    return small_list(stop_words(spark, sf), "txt", 50)
+    return bounded_list(stop_words(spark, sf), "txt", 50)
 
 
 def candidates(spark, sf):
@@ -115,7 +116,7 @@ def decode_text(spark, sf):
 def seed_match_filter(spark, sf):
     counted = match.match_count(
         documents(spark, sf).select("doc_id", F.lower("text").alias("text")),
-        ["doc_id"], F.col("text"), vocabulary(spark, sf),
+        F.col("text"), vocabulary(spark, sf),
     )
     return counted.where("match_cnt > 5").select("doc_id", "match_cnt")
 
@@ -155,7 +156,7 @@ def tokenize(spark, sf):
 
 def stop_word_filter(spark, sf):
     df = documents(spark, sf).select("doc_id", tokens_of().alias("tokens"))
-    kept = remove_stop_words(df, ["doc_id"], "tokens", stop_words(spark, sf))
+    kept = remove_stop_words(df, "tokens", stop_words(spark, sf))
     return kept.select("doc_id", joined(F.col("tokens")).alias("tokens"))
 
 
@@ -271,7 +272,7 @@ def cooccur_graph(spark, sf):
 
 def pagerank_corpus(spark, sf):
     rows = explode_rows(documents(spark, sf), sentence_tokens(), "tokens")
-    ranks = textrank.corpus_words(rows, "tokens", 2, max_iter=STEPS, tol=0.0)
+    ranks = textrank.corpus_words(rows, "tokens", 2)
     return ranks.select("word", rounded("weight", 9))
 
 
@@ -325,13 +326,24 @@ def sentence_rank(spark, sf):
     )
 
 
-def keyword_contrast(spark, sf):
-    texts = [df.select(sentence_tokens().alias("tokens")) for df in (domain(spark, sf), background(spark, sf))]
-    return textrank.keyword_contrast(*texts, max_iter=STEPS, tol=0.0).select(
-        "word", rounded("weight", 9)
+def sentence_partners(spark, sf):
+    found = textrank.sentence_partners(sentence_tokens(), 3)
+    return explode_rows(documents(spark, sf), found, "p", "doc_id").select(
+        "doc_id", F.col("p.index").alias("sent_id"), "p.rank", "p.partner",
+        F.round("p.similarity", 6).alias("similarity"),
     )
 
 
+def keyword_contrast(spark, sf):
+    stop = stop_words(spark, sf)
+    texts = []
+    for df in (domain(spark, sf), background(spark, sf)):
+        rows = explode_rows(df, sentence_tokens(), "tokens", "doc_id")
+        texts.append(remove_stop_words(rows, "tokens", stop))
+    budget = counts.keyword_budget(domain(spark, sf), background(spark, sf)).first()
+    return textrank.keyword_contrast(*texts, budget=budget).select("word", rounded("weight", 9))
+
+
 # Vectors and expansion
 
 def vector_table(spark, sf):
@@ -360,6 +372,8 @@ def centroid_shift(spark, sf):
 
 
 EXPANSION = dict(min_sim=0.3, plain_floor=0.3)
+# For vectors of few dimensions: near neighbours are very near, so scores last several levels.
+DEEP = dict(min_sim=0.9, plain_floor=0.9, alpha=0.05)
 
 
 def _plain(word):
@@ -374,6 +388,29 @@ def expand_scored(spark, sf):
     return found.select("word", "depth", rounded("score"))
 
 
+def _flat_vectors(spark, sf):
+    """Three dimensions of the vectors: their words form long chains of near neighbours."""
+    return cut_lineage(
+        vector_table(spark, sf).withColumn("vector", F.slice("vector", 1, 3))
+    )
+
+
+def _few_seeds(spark, sf):
+    return by_label(spark, sf, 0).where("length(word) <= 2")
+
+
+def expand_deep(spark, sf):
+    found = expand.expand(_flat_vectors(spark, sf), _few_seeds(spark, sf), accept=_plain, **DEEP)
+    return found.select("word", "depth", rounded("score"))
+
+
+def expand_fixpoint(spark, sf):
+    found = expand.expand(
+        _flat_vectors(spark, sf), _few_seeds(spark, sf), accept=_plain, mode="fixpoint", **DEEP
+    )
+    return found.select("word", "depth", rounded("score"))
+
+
 def expand_members(spark, sf):
     return expand.expand_members(
         cut_lineage(vector_table(spark, sf)), by_label(spark, sf, 0), accept=_plain, **EXPANSION
@@ -404,24 +441,66 @@ def exclude_prefix(spark, sf):
 
 # Trained vectors, the whole job
 
+_vectors: dict = {}
+
+
 def _trained(spark, sf):
-    tokens = cut_lineage(domain(spark, sf).select(tokens_of().alias("tokens")))
-    return cut_lineage(vectors.train_vectors(tokens, "tokens", 16, 5, 5))
+    """Word vectors of the domain; trained once for a session and its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _vectors:
+        tokens = cut_lineage(domain(spark, sf).select(tokens_of().alias("tokens")))
+        _vectors[key] = cut_lineage(vectors.train_vectors(tokens, "tokens", 16, 5, 5))
+    return _vectors[key]
+
+
+def _described(df):
+    # What training fixes whatever its random start: the words and the length of finite vectors.
+    return df.select("word", F.size("vector").alias("n_dims"), F.exists(
+        "vector", lambda x: x.isNull() | F.isnan(x)
+    ).alias("broken"))
 
 
 def word_vectors(spark, sf):
-    return _trained(spark, sf)
+    return _described(_trained(spark, sf))
 
 
 def seed_vectors(spark, sf):
-    return vectors.seeds_with_vectors(vocabulary(spark, sf), _trained(spark, sf))
+    return _described(vectors.seeds_with_vectors(vocabulary(spark, sf), _trained(spark, sf)))
+
+
+MINING = MiningConfig(profile=LATIN, vector_size=16, min_sim=0.6, lower=True)
+
+
+def _corpora(spark, sf):
+    return domain(spark, sf), background(spark, sf)
+
+
+def mined_terms(spark, sf):
+    """The dictionary that the whole job cuts its texts with, from the stages before it."""
+    texts = [sentence_texts(df, MINING) for df in _corpora(spark, sf)]
+    budget = counts.keyword_budget(*_corpora(spark, sf)).first()
+    found = dictionary(
+        *texts, vocabulary(spark, sf), gazetteer(spark, sf), stop_words(spark, sf), budget, MINING
+    )
+    return found.terms.select("key", "origin")
+
+
+def mined_screen(spark, sf):
+    """The stages after training, from a fixed table of vectors."""
+    v = cut_lineage(vector_table(spark, sf))
+    specificity = v.select("word", ((F.col("label") + 1) / 10.0).alias("score"))
+    known = v.where("label = 1 AND length(word) = 3").select(F.col("word").alias("key"))
+    places = v.where("label = 2 AND length(word) = 2").select(F.col("word").alias("key"))
+    found = screen(
+        specificity, v.select("word", "vector"), by_label(spark, sf, 0), known, places,
+        accept=_plain, top=100, neighbours=200, **EXPANSION,
+    )
+    return found.select("word", rounded("score"))
 
 
 def mined_vocabulary(spark, sf):
-    config = MiningConfig(profile=LATIN, vector_size=16, min_sim=0.6)
     return mine_vocabulary(
-        domain(spark, sf), background(spark, sf), vocabulary(spark, sf), gazetteer(spark, sf),
-        stop_words(spark, sf), config,
+        *_corpora(spark, sf), vocabulary(spark, sf), gazetteer(spark, sf), stop_words(spark, sf), MINING
     )
 
 
@@ -433,8 +512,11 @@ QUERIES = {
         dictionary_segment, word_freq, term_counts, pair_pmi, new_words, aligned_vocabulary,
         scaled_background, smoothed_ratio_zero, smoothed_ratio_null, specific_words,
         keyword_budget, phrase_count, window_pairs, cooccur_graph, pagerank_corpus, pagerank_doc,
-        doc_keywords, keyphrases, sentence_similarity, sentence_rank, keyword_contrast,
-        vector_topk, centroid_shift, expand_scored, expand_members, final_score, exclude_known,
-        exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, mined_vocabulary,
+        doc_keywords, keyphrases, sentence_similarity, sentence_partners, sentence_rank,
+        keyword_contrast,
+        vector_topk, centroid_shift, expand_scored, expand_deep, expand_fixpoint,
+        expand_members, final_score, exclude_known,
+        exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, mined_terms, mined_screen,
+        mined_vocabulary,
     )
 }

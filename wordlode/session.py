@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wordlode.sources.tables import write_table
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by ``spark.checkpoint.dir``.
@@ -39,25 +41,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     other sides of a join, where it would check them again on every row.
     """
     path = shared_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    write_table(df, path, "errorifexists")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_in_place(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame so that its partitioning and order stay usable.
+def checkpoint_in_place(df: DataFrame, arrange) -> DataFrame:
+    """Checkpoint ``arrange(df)`` so that its partitioning and order stay usable.
 
-    Later joins and groups on the same keys then need no shuffle. Adaptive
-    plans do not report their partitioning, hence the switch around the write.
+    Later joins and groups on the same keys then need no shuffle. Adaptive plans
+    do not report their partitioning, so ``arrange`` is planned without them, on a
+    written copy and in a session of its own: the settings of the caller, and of
+    other threads of that session, stay as they are. In a join the result has to
+    stand on the right, as the left side names the session.
     """
+    written = cut_lineage(df)
+    apart = df.sparkSession.newSession()
+    apart.conf.set("spark.sql.adaptive.enabled", "false")
+    copy = apart.read.schema(written.schema).parquet(*written.inputFiles())
+    return arrange(copy).checkpoint()
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the folder of a written table that nothing reads any more."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        # The plan is fixed on first use: take a fresh frame under this setting.
-        return df.select("*").checkpoint()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Below this many bytes per core a table is dealt out anew.
@@ -78,13 +87,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def small_list(df: DataFrame, column: str, max_rows: int, max_chars: int = 64_000_000):
-    """The distinct non-empty strings of a column, or None if over the bound.
+def bounded_list(df: DataFrame, column: str, max_rows: int) -> list[str]:
+    """The distinct non-empty strings of a column, for lists that are short by definition.
 
-    The size is measured first, so at most ``max_rows`` rows reach the driver.
+    More than ``max_rows`` of them are an error, and never reach the driver.
     """
     terms = cut_lineage(df.select(F.col(column).alias("term")).where("term <> ''").distinct())
-    size = terms.agg(F.count("*").alias("n"), F.sum(F.length("term")).alias("c")).first()
-    if size["n"] > max_rows or (size["c"] or 0) > max_chars:
-        return None
+    n = terms.count()
+    if n > max_rows:
+        raise ValueError(f"{n} rows in {column!r}, {max_rows} at most")
     return sorted(row["term"] for row in terms.collect())
