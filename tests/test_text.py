@@ -94,3 +94,39 @@ def test_chinese_word_rules(spark, word, expected):
 ])
 def test_charset(spark, word, expected):
     assert value(spark, T.in_charset(F.col("w")), w=word) is expected
+
+
+# One text that a rule changes, and one of the same characters that it leaves.
+CLEANED = (
+    "一斤 果斤 5斤 的 老公 我说 让你 不够 补付款 未付 亲爱的 今天 相信 支付宝 星期三 周六 感谢 供养 参加 怎么 "
+    "排球 六合彩 租金 都可 主持 下班 有限 居然 abc"
+).split()
+LEFT = (
+    "斤一 斤果 斤5 苹果 公老 说我 你让 够不 付补款 付未 爱亲的 天今 信相 付支宝 期星三 六周 谢感 养供 加参 么怎 "
+    "球排 合六彩 金租 可都 持主 班下 限有 然居 苹果"
+).split()
+
+
+def test_every_chinese_cleaning_rule(spark):
+    assert len(CLEANED) == len(LEFT) == len(CHINESE.cleaning) == 29
+    columns = [
+        T.clean(F.lit(t), [rule]) for texts in (CLEANED, LEFT) for t, rule in zip(texts, CHINESE.cleaning)
+    ]
+    got = list(spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
+    assert [t for t, g in zip(CLEANED, got[:29]) if g.strip()] == []
+    assert got[29:] == LEFT
+
+
+# One word that a rule refuses, and one that it accepts.
+REFUSED = "abc 果 更大 加一款式 苹果课 在家 大广场 帮忙人 果果果 毕加索 小妈妈 李子 一起 大师傅 一生平安 一七".split()
+ACCEPTED = "苹果 苹果 苹果 加减 课苹果 家在 广场舞 人帮忙 果果树 毕业 妈妈 李子树 一起来 师傅 平安 苹果".split()
+
+
+def test_every_chinese_word_rule(spark):
+    assert len(REFUSED) == len(ACCEPTED) == len(CHINESE.word_rules)
+    columns = [
+        T.acceptable(F.lit(w), [rule]) for words in (REFUSED, ACCEPTED) for w, rule in zip(words, CHINESE.word_rules)
+    ]
+    got = list(spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
+    n = len(REFUSED)
+    assert ([w for w, g in zip(REFUSED, got[:n]) if g], [w for w, g in zip(ACCEPTED, got[n:]) if not g]) == ([], [])
