@@ -294,6 +294,19 @@ def test_pack(spark):
     check_packing([p.asDict() for p in pieces], [r[:2] for r in rows], Tokenizer.from_file(BPE))
 
 
+def test_ids_of_every_sign(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pack, "KEPT", 500)
+    encode, exact = pack.Encoder(BPE), Tokenizer.from_file(BPE)
+    signs = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} {c}{c}9{c} x" for c in signs[i : i + 40]) for i in range(0, len(signs), 40)]
+    texts += ["it's we're x'll 'd", "<|endoftext|>a <|endoftext|>", "a  b   c ", "\n\n a\t b", "a\x1c b"]
+    want = exact.encode_batch(texts, add_special_tokens=False)
+    for text, ids in zip(texts, want):
+        assert np.frombuffer(encode(text), "<u2").tolist() == [*ids.ids, 0], text
+
+
 def test_pack_nothing(spark):
     assert pack.pack(frame(spark, []), BPE).count() == 0
 
@@ -317,10 +330,10 @@ def test_near_documents_have_near_keys():
     from wordlode.llm.pack import directions, encoder, point
 
     rnd = random.Random(4)
-    hashed, axes = directions()
+    hashed, encode = directions(), encoder(BPE)
     base = [random_text(rnd, 200) for _ in range(30)]
     near = [b + " one more word" for b in base]
-    points = [point(np.frombuffer(i, "<u2"), hashed, axes) for i in encoder(BPE)(base + near)]
+    points = [point(np.frombuffer(encode(t), "<u2"), *hashed) for t in base + near]
     gap = lambda a, b: np.abs(points[a] - points[b]).sum()
     assert sum(gap(i, i + 30) < gap(i, (i + 1) % 30) for i in range(30)) >= 28
 
