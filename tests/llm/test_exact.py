@@ -307,6 +307,27 @@ def test_ids_of_every_sign(monkeypatch):
         assert np.frombuffer(encode(text), "<u2").tolist() == [*ids.ids, 0], text
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000], ids=["blanks", "breaks"])
+def test_ids_of_a_long_white_space_run(run):
+    from tokenizers import Tokenizer
+
+    encode, exact = pack.Encoder(BPE), Tokenizer.from_file(BPE)
+    text = f"it's a b{run}c d  e"
+    want = exact.encode(text, add_special_tokens=False).ids
+    assert np.array_equal(np.frombuffer(encode(text), "<u2"), [*want, 0])
+
+
+@pytest.mark.parametrize("size", [pack.LONG_RUN - 1, pack.LONG_RUN, pack.LONG_RUN + 1])
+def test_ids_about_the_longest_quick_run(size):
+    from tokenizers import Tokenizer
+
+    encode, exact = pack.Encoder(BPE), Tokenizer.from_file(BPE)
+    for blank in " \n\t":
+        text = f"a{blank * size}b"
+        want = exact.encode(text, add_special_tokens=False).ids
+        assert np.array_equal(np.frombuffer(encode(text), "<u2"), [*want, 0])
+
+
 def test_pack_nothing(spark):
     assert pack.pack(frame(spark, []), BPE).count() == 0
 

@@ -41,10 +41,13 @@ DIMS = 3
 BITS = 16
 # Encoded pieces kept in a worker (twice as many at most), and the longest that is kept.
 KEPT, KEPT_CHARS = 200_000, 64
+# ``tiktoken`` panics on a white-space run of a million signs; a tenth of that is left to ``tokenizers``.
+LONG_RUN = 100_000
 
 # A blank between two signs that are no white space always starts a new token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNSAFE = re.compile(r"\s\s|^\s|\s$")
+_SPACE = re.compile(r"\s++")
 
 # Fixed value: how byte-level tokenizers of this kind split a text.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -90,7 +93,7 @@ class Encoder:
     so a text is encoded piece by piece and pieces met lately are remembered. Pieces
     are encoded by ``tiktoken`` with the vocabulary of the file, which gives the same ids
     as ``tokenizers`` in a quarter of the time; texts that hold a special token are
-    encoded whole by ``tokenizers``.
+    encoded whole by ``tokenizers``, as are pieces with a very long white-space run.
     """
 
     def __init__(self, path: str):
@@ -104,14 +107,23 @@ class Encoder:
         quick = tiktoken.Encoding(
             "pieces", pat_str=_PATTERN, mergeable_ranks=_ranks(path, self.special), special_tokens={}
         )
-        self.first = _Pieces(quick.encode_ordinary, "")
+
+        def encode(piece: str) -> list[int]:
+            if len(piece) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in _SPACE.finditer(piece)):
+                return self.exact(piece)
+            return quick.encode_ordinary(piece)
+
+        self.first = _Pieces(encode, "")
         # All but the first piece begin with the blank at which they were split off.
-        self.other = _Pieces(quick.encode_ordinary, " ")
+        self.other = _Pieces(encode, " ")
+
+    def exact(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> bytes:
         """Ids of a text, the end id behind them."""
         if any(s in text for s in self.special):
-            return array("H", [*self.tokenizer.encode(text, add_special_tokens=False).ids, END]).tobytes()
+            return array("H", [*self.exact(text), END]).tobytes()
         parts = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
         ids = b"".join(map(self.other.__getitem__, parts[1:]))
         return self.first[parts[0]] + ids + _END_BYTES
