@@ -239,6 +239,37 @@ def test_blocks_of_a_page(html, want):
     assert " ".join(b.text for b in dom.content(dom.read(html)[0])) == want
 
 
+@pytest.mark.parametrize("html,want", [
+    *[(f"<nav>m</nav><div class='{name}'><h1>T</h1><p>one two</p></div><div class=ad>x</div>", "T one two")
+      for name in ("content with-sidebar", "no-sidebar", "has-menu", "no-comments", "search-results")],
+    ("<div class='page sidebar'><article><p>one</p></article></div><p>by</p>", "one"),
+    ("<div class=widget><p>one two three</p></div><p>by</p>", "one two three by"),
+    ("<span class=widget>one two three</span> by", "one two three by"),
+    ("<main><div class=widget><p>one two three</p></div><p>by</p></main>", "one two three by"),
+    ("<article>one</article><div class=ad>buy two or three</div>", "one"),
+    ("<article>card</article><div><p>the main text in a plain element</p></div><article>other</article>",
+     "card the main text in a plain element other"),
+    ("<article>the main text is here</article><article>card</article><p>by</p>", "the main text is here"),
+    ("<article>这是一个很长的正文</article><p>one two three</p>", "这是一个很长的正文"),
+    ("<p>the main text</p><div class='nav-menu'>x</div><div id=sidebar>y</div>", "the main text"),
+])
+def test_marks_do_not_take_the_main_text(html, want):
+    assert " ".join(b.text for b in dom.content(dom.read(html)[0])) == want
+
+
+def test_doubtful_names_are_left_to_the_tree(spark):
+    rnd = random.Random(4)
+    rows = [
+        (i, f"https://a.example/{i}", "<div class='content with-sidebar'>"
+         f"<p>{random_text(rnd, 30)}</p></div><div class='site-footer'>All rights with us</div>")
+        for i in range(20)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in sitetree.main_text(pages).collect():
+        body = r["row"]["html"].split("<p>")[1].split("</p>")[0]
+        assert r["result"] == body
+
+
 def test_template_text_is_cut(spark):
     rnd = random.Random(3)
     rows = []

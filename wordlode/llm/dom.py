@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import xxhash
@@ -31,7 +32,7 @@ CLOSES = {
     "thead": ({"thead", "tbody", "tfoot"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
 }
-# Elements that are never part of an article, by tag, role, or a word of class or id.
+# Elements that are no part of an article, by tag, role, or a whole name in class or id.
 NOT_CONTENT = set(
     "nav aside footer head button select option input menu dialog svg math object canvas audio video".split()
 ) | RAW
@@ -46,6 +47,8 @@ MARKS = set(
     "toolbar widget skip".split()
 )
 _WORDS = re.compile(r"[a-z]+")
+# Words of a text for its size; each sign of Chinese or Japanese is one.
+_SIZE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|\w+")
 
 
 @dataclass
@@ -54,9 +57,10 @@ class Element:
     label: str
     path: int  # hash of the labels from the root
     inline: bool
-    drop: bool  # not content by its kind, or inside such an element
+    drop: bool  # not content by tag or role, or inside such an element
     form: bool  # inside a form
-    article: bool  # inside an article
+    marks: tuple[int, ...]  # elements around it, and itself, that are not content by class or id
+    articles: tuple[int, ...]  # articles around it, and itself, outermost first
     children: list[str] = field(default_factory=list)
 
 
@@ -66,13 +70,43 @@ class Block:
     paths: tuple[int, ...]  # block elements around it, outermost first
     drop: bool
     form: bool
-    article: bool
+    articles: tuple[int, ...]
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _size(text: str) -> int:
+    return len(_SIZE.findall(text))
+
+
+def _is_marked(names: str) -> bool:
+    """Whether a whole name is made of marks: cookie-notice is, with-sidebar is not."""
+    return any(not MARKS.isdisjoint(w := _WORDS.findall(name)) and MARKS.issuperset(w) for name in names.split())
+
+
+def _lifted(raw: list[tuple], inside: list[bool], holds: set[int]) -> set[int]:
+    """Marked elements that count as content all the same.
+
+    One that holds an article, and one that holds most of the text; outside articles
+    the latter only if no article has text.
+    """
+    if not inside:
+        return set()
+    open_parts = [(p, articles) for p, _, drop, _, articles in raw if not drop]
+    clean = any(a and not marks and not text.isspace() for p, a in open_parts for text, marks in p)
+    if clean and not any(inside):
+        return holds
+    sizes, total = Counter(), 0
+    for parts, _ in open_parts:
+        for text, marks in parts:
+            size = _size(text)
+            total += size
+            sizes.update(dict.fromkeys(marks, size))
+    return holds | {m for m, size in sizes.items() if 2 * size > total and (inside[m] or not clean)}
+
+
 def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
     """Text blocks in page order, and (path, style) of each block element.
 
@@ -81,24 +115,25 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
     Unclosed, misnested and cut tags are taken as browsers mostly take them.
     """
     page = page or ""
-    root = Element("", "", 0, False, False, False, False)
-    stack, blocks, styles = [root], [], []
-    run: list[str] = []
-    # Text of dropped inline elements is left out of the block around them.
-    around: list[Element] = []
+    root = Element("", "", 0, False, False, False, (), ())
+    stack, raw, styles = [root], [], []
+    run: list[tuple[str, tuple[int, ...]]] = []
+    # Of each marked element whether it is inside an article; those that hold one; number of articles.
+    inside: list[bool] = []
+    holds: set[int] = set()
+    articles_met = 0
 
     def flush() -> None:
         if run:
-            text = " ".join("".join(run).split())
-            if text:
-                holders = [e for e in stack if not e.inline]
-                last = holders[-1]
-                blocks.append(Block(text, tuple(e.path for e in holders), last.drop, last.form, last.article))
+            holders = [e for e in stack if not e.inline]
+            last = holders[-1]
+            raw.append((run[:], tuple(e.path for e in holders), last.drop, last.form, last.articles))
             run.clear()
 
+    # Text of dropped inline elements is left out of the block around them.
     def say(text: str) -> None:
         if text and not (stack[-1].inline and stack[-1].drop and not _block_of(stack).drop):
-            run.append(html.unescape(text))
+            run.append((html.unescape(text), stack[-1].marks))
 
     def close(element: Element) -> None:
         if not element.inline:
@@ -121,7 +156,7 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
         name = (match[2] or "").lower()
         if not name:
             if match[0].startswith("<![CDATA["):
-                run.append(match[0][9:].removesuffix("]]>"))
+                run.append((match[0][9:].removesuffix("]]>"), stack[-1].marks))
             continue
         if match[1]:
             if name == "br":
@@ -148,14 +183,21 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
         marks = found.get("class", "") + " " + found.get("id", "")
         drop = (
             parent.drop or name in NOT_CONTENT or found.get("role") in ROLES
-            or (name == "header" and not parent.article)
-            or (name not in ("html", "body", "article", "main") and not MARKS.isdisjoint(_WORDS.findall(marks)))
-            or (name == "article" and not MARKS.isdisjoint(_WORDS.findall(marks)))
+            or (name == "header" and not parent.articles)
         )
+        around, articles = parent.marks, parent.articles
+        if name not in ("html", "body", "main") and _is_marked(marks):
+            around += (len(inside),)
+            inside.append(bool(articles))
+        elif name in ("article", "main") and not drop:
+            holds.update(m for m in around if not inside[m])
+        if name in ("article", "main") and not drop:
+            articles += (articles_met,)
+            articles_met += 1
         label = name if inline else _DIGITS.sub("0", f"{name}.{marks.strip()}")
         element = Element(
             name, label, parent.path if inline else _hash(f"{holder.path}/{label}"), inline, drop,
-            parent.form or name == "form", parent.article or (name in ("article", "main") and not drop),
+            parent.form or name == "form", around, articles,
         )
         if not inline:
             holder.children.append(label)
@@ -171,6 +213,11 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
             stack.append(element)
     pop_to(1)
     flush()
+    lifted, blocks = _lifted(raw, inside, holds), []
+    for parts, paths, *kind in raw:
+        text = " ".join("".join(t for t, marks in parts if lifted.issuperset(marks)).split())
+        if text:
+            blocks.append(Block(text, paths, *kind))
     return blocks, styles
 
 
@@ -185,11 +232,20 @@ def content(blocks: list[Block]) -> list[Block]:
     """Blocks that can be main text by the kind of the elements around them.
 
     Text in a form counts if there is nothing else (some pages are one form),
-    text outside an article if there is no article with text.
+    text outside an article if no article holds at least half of the text.
     """
     left = [b for b in blocks if not b.drop]
     left = [b for b in left if not b.form] or left
-    return [b for b in left if b.article] or left
+    if all(b.articles for b in left) or not any(b.articles for b in left):
+        return left
+    sizes, total = Counter(), 0
+    for block in left:
+        size = _size(block.text)
+        total += size
+        sizes.update(dict.fromkeys(block.articles, size))
+    # Of nested articles of one size the outermost.
+    most = max(sizes, key=lambda a: (sizes[a], -a))
+    return [b for b in left if most in b.articles] if 2 * sizes[most] >= total else left
 
 
 def normal(text: str) -> int:

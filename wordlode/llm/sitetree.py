@@ -14,7 +14,10 @@ Both meet in the composite importance (1 - g^l) presentation + g^l content, with
 Entropy alone cannot tell an advert that differs on every page from an article, so
 elements that are no article by tag, role or class (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments) have importance zero beforehand,
-as has text outside the article where there is one.
+as has text outside an article that holds at least half of the text. A class or id counts
+if it is a whole name of this kind; elements that only have such a word in a name
+(with-sidebar, search-results) are left to the tree. No element goes by class or id
+that holds an article, or most of the text where no article has any.
 
 Pages with the same content count once, so copies of an article do not make it look
 like a template, and hosts with fewer than ``LEAST_PAGES`` of them are not judged.
