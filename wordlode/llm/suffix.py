@@ -1,10 +1,10 @@
-"""Exact substring dedup: longest-previous-factor arrays over suffixes that can repeat.
+"""Exact substring dedup: the smallest place of each group of equal strings that can repeat.
 
 A byte goes if a string of ``size`` bytes over it also starts earlier (in a document
 with a smaller id, or earlier in the same one). In the order of all suffixes, cut at
-``size`` bytes, equal strings lie side by side; inside such a run every suffix but the
-earliest has a previous or a next smaller position, which is its earlier match, so its
-longest previous factor reaches ``size``.
+``size`` bytes, equal strings lie side by side; all but the earliest of such a run have a
+longest previous factor of ``size`` or more. Only that is asked, so no array of
+factors and no previous or next smaller positions are computed.
 
 One suffix array over all bytes would be a shuffle of many times the corpus. Three
 steps leave little to sort, and drop nothing:
@@ -305,8 +305,8 @@ def _factors(frame: pd.DataFrame, size: int) -> pd.DataFrame:
     """Covered ranges of some contexts, by the order of their suffixes.
 
     ``run`` numbers the stretches of neighbours in suffix order that share ``size`` bytes.
-    Every suffix of a stretch but the smallest position has a smaller position before
-    or after it there: its longest previous factor is at least ``size``.
+    Every suffix of a stretch but the smallest position is covered: the same ``size``
+    bytes start at that position. No factors are computed.
     """
     which, position, strings = _suffixes(frame, size)
     keys = strings.view(f"S{size}").ravel()
