@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordlode.llm import count, decontaminate, langid, pack, quality, rules, simhash, sitetree, suffix, toxic
+from wordlode.llm import (
+    align, count, decontaminate, langid, linkrank, pack, phrases, quality, rules, simhash, sitetree, suffix, toxic,
+)
 from wordlode.llm.sample import held_out
 from wordlode.sources.tables import scan
 
@@ -90,6 +92,29 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    linkrank.Rule("org", "/", "allow"), linkrank.Rule("example.org", "/es/", "block"),
+    linkrank.Rule("example.org", "/en/1", "block"), linkrank.Rule("com", "/fr/", "allow"),
+    linkrank.Rule("com", "/de/", "block"),
+]
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linkrank.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents", "text", "lang"), support=30, top=2000)
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(
+        table(spark, sf_dir, "documents", "doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     "op1_curve_packing": packing,
     "op2_token_counts": token_counts,
@@ -101,4 +126,7 @@ QUERIES = {
     "op8_language_id": language,
     "op9_quality_classifier": quality_classifier,
     "op10_suffix_array_dedup": suffix_dedup,
+    "op11_url_filters": url_filter,
+    "op12_phrase_mining": phrase_mining,
+    "op13_tokenizer_alignment": tokenizer_alignment,
 }
