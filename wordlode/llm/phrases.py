@@ -43,6 +43,8 @@ SHARD_BYTES = 84 << 20
 # Bits of the union (16 MB), in pieces of the size that Spark's bitmap functions use.
 BITS = 27
 PIECE_BITS = 1 << 15
+# Places of phrases that a task sorts at a time.
+AT_ONCE = 1_000_000
 # Languages whose sizes the driver holds.
 MAX_LANGS = 10_000
 # Most rows of a language that one task ranks are ``top`` for each salt.
@@ -78,9 +80,14 @@ class Numbers(dict):
         self.rows.append(np.fromiter(map(self.__getitem__, found), np.int32, len(found)))
         self.bytes += len(text)
 
-    def hashes(self) -> np.ndarray:
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """All numbers in their order, and the hash of each word; the lookup and the rows are let go."""
+        self.clear()
+        rows, self.rows = self.rows, []
         seed = xxhash.xxh64_intdigest(self.lang.encode())
-        return np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
+        return np.concatenate(rows), np.fromiter(
+            (xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words)
+        )
 
 
 def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Numbers]]:
@@ -101,32 +108,40 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Numbe
         yield list(langs.values())
 
 
-def levels(numbers: np.ndarray, size: int, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, word numbers and counts of the phrases that ``keep(members, counts)`` keeps.
 
-    A phrase is looked at only where both phrases of one word less were kept.
+    A phrase is looked at only where both phrases of one word less were kept. About
+    ``at_once`` places are sorted at a time, those whose first parts fall in one class, so
+    a length may come in several lots.
     """
     counts = np.bincount(numbers, minlength=size)[1:]
     members = np.arange(1, size, dtype=np.int32)[:, None]
-    at, which, places = None, None, None
-    for length in range(1, LONGEST + 1):
-        ok = keep(members, counts)
-        number = np.where(ok, np.cumsum(ok), 0).astype(np.int32)
-        members, counts = members[ok], counts[ok]
-        yield length, members, counts
-        # The number of the kept phrase that begins at each place, or 0.
-        if at is None:
-            at = np.concatenate([np.zeros(1, np.int32), number])[numbers]
-        else:
-            at = np.zeros(len(at) - 1, np.int32)
-            at[places] = number[which]
-        if length == LONGEST or not len(members) or len(at) < 2:
+    ok = keep(members, counts)
+    members = members[ok]
+    yield 1, members, counts[ok]
+    # The number of the kept phrase that begins at each place, or 0.
+    at = np.concatenate([np.zeros(1, np.int32), np.where(ok, np.cumsum(ok), 0).astype(np.int32)])[numbers]
+    for length in range(2, LONGEST + 1):
+        if not len(members) or len(at) < 2:
             return
-        places = np.flatnonzero((at[:-1] != 0) & (at[1:] != 0))
-        key = at[places].astype(np.int64) * (len(members) + 1) + at[places + 1]
-        key, which, counts = np.unique(key, return_inverse=True, return_counts=True)
-        first, last = np.divmod(key, len(members) + 1)
-        members = np.concatenate([members[first - 1], members[last - 1][:, -1:]], axis=1)
+        first, last = at[:-1], at[1:]
+        both = (first != 0) & (last != 0)
+        lots = 1 + np.count_nonzero(both) // at_once
+        following = np.zeros(len(first), np.int32)
+        longer, done = [np.zeros((0, length), np.int32)], 0
+        for lot in range(lots):
+            places = np.flatnonzero(both & (first % lots == lot) if lots > 1 else both)
+            key = first[places].astype(np.int64) * (len(members) + 1) + last[places]
+            key, which, counts = np.unique(key, return_inverse=True, return_counts=True)
+            head, tail = np.divmod(key, len(members) + 1)
+            found = np.concatenate([members[head - 1], members[tail - 1][:, -1:]], axis=1)
+            ok = keep(found, counts)
+            following[places] = np.where(ok, np.cumsum(ok) + done, 0).astype(np.int32)[which]
+            done += np.count_nonzero(ok)
+            longer.append(found[ok])
+            yield length, longer[-1], counts[ok]
+        members, at = np.concatenate(longer), following
 
 
 def bits(members: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -141,17 +156,16 @@ def bits(members: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def _mine(totals: dict[str, int], support: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs in shards(batches, limit):
-            union = np.zeros(1 << BITS, bool)
+            union = np.zeros((1 << BITS) // 8, np.uint8)
             for lang in langs:
                 if not lang.bytes:
                     continue
                 least = -(-support * lang.bytes // totals[lang.lang])
-                hashes = lang.hashes()
-                numbers = np.concatenate(lang.rows)
-                lang.rows.clear()
+                numbers, hashes = lang.taken()
                 for _, members, _ in levels(numbers, len(lang.words), lambda m, n: n >= least):
-                    union[bits(members, hashes)] = True
-            packed = np.packbits(union).reshape(-1, PIECE_BITS // 8)
+                    bit = bits(members, hashes)
+                    np.bitwise_or.at(union, bit >> 3, (128 >> (bit & 7)).astype(np.uint8))
+            packed = union.reshape(-1, PIECE_BITS // 8)
             used = np.flatnonzero(packed.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), pa.array([packed[i].tobytes() for i in used], pa.binary())],
@@ -175,9 +189,7 @@ def _count(union, limit: int):
 
         for langs in shards(batches, limit):
             for lang in langs:
-                hashes = lang.hashes()
-                numbers = np.concatenate(lang.rows)
-                lang.rows.clear()
+                numbers, hashes = lang.taken()
                 # The number of all words.
                 yield from rows(lang.lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
 
