@@ -208,16 +208,16 @@ def _nearest(query="v", k=200):
 
 
 def _floor(least, alpha):
-    return f"{least} + {1 - least:.1f} * (1 - exp(-{alpha} * c.depth))"
+    return f"{least} + {1 - least!r} * (1 - exp(-{alpha} * c.depth))"
 
 
-def _expansion(vectors=VECTORS, seeds="label = 0", least=0.3, alpha=0.25):
+def _expansion(vectors=VECTORS, least=0.3, alpha=0.25, k=200):
     """Level by level until no word joins; a word's own link carries it to the next level."""
-    return ",\n".join([vectors, _nearest().replace("sims AS (", "sims AS MATERIALIZED (", 1), f"""
+    return ",\n".join([vectors, _nearest(k=k).replace("sims AS (", "sims AS MATERIALIZED (", 1), f"""
 links AS MATERIALIZED (SELECT query, word, sim, false AS own FROM sims WHERE NOT contains(word, '7')
   UNION ALL SELECT word, word, 1.0, true FROM v),
 levels AS (
-  SELECT word, 0 AS depth, 1.0::DOUBLE AS score, 0 AS step, true AS open FROM v WHERE {seeds}
+  SELECT word, 0 AS depth, 1.0::DOUBLE AS score, 0 AS step, true AS open FROM v WHERE label = 0
   UNION ALL
   SELECT word, depth, score, step, max(depth) OVER () = step
   FROM (SELECT l.word, min(CASE WHEN l.own THEN c.depth ELSE c.step + 1 END) AS depth,
@@ -228,10 +228,9 @@ levels AS (
 cluster AS MATERIALIZED (SELECT word, depth, score FROM levels WHERE NOT open)"""])
 
 
-FLAT = VECTORS.replace("embedding::DOUBLE[] AS vector", "embedding[1:3]::DOUBLE[] AS vector")
-DEEP = (FLAT, "label = 0 AND length(word) <= 2", 0.9, 0.05)
+DEEP = dict(least=0.02, alpha=0.05, k=4)
 FIXPOINT = f"""kept AS MATERIALIZED (SELECT l.* FROM links l JOIN cluster c ON l.query = c.word
-  WHERE l.own OR l.sim >= {_floor(0.9, 0.05)}),
+  WHERE l.own OR l.sim >= {_floor(0.02, 0.05)}),
 raised AS (
   SELECT word, depth, score, true AS moving, 0 AS step FROM cluster
   UNION ALL
@@ -453,10 +452,10 @@ q AS (SELECT word, list(parts.x + shift.x ORDER BY i) AS vector FROM parts JOIN
     ) + "SELECT query, word, round(sim, 6) AS sim FROM sims",
     "expand_scored": _with(_expansion(), recursive=True)
     + "SELECT word, depth, round(score, 6) AS score FROM cluster WHERE score >= 0.3",
-    "expand_deep": _with(_expansion(*DEEP), recursive=True)
-    + "SELECT word, depth, round(score, 6) AS score FROM cluster WHERE score >= 0.9",
-    "expand_fixpoint": _with(_expansion(*DEEP), FIXPOINT, recursive=True)
-    + "SELECT word, depth, round(score, 6) AS score FROM raised WHERE NOT moving AND score >= 0.9",
+    "expand_deep": _with(_expansion(**DEEP), recursive=True)
+    + "SELECT word, depth, round(score, 6) AS score FROM cluster WHERE score >= 0.02",
+    "expand_fixpoint": _with(_expansion(**DEEP), FIXPOINT, recursive=True)
+    + "SELECT word, depth, round(score, 6) AS score FROM raised WHERE NOT moving AND score >= 0.02",
     "expand_members": _with(_expansion(), recursive=True) + "SELECT word FROM cluster",
     "final_score": _with(_expansion(), recursive=True)
     + """SELECT c.word, round((label + 1) / 10.0::DOUBLE * score ** 2, 6) AS score
@@ -476,10 +475,11 @@ FROM cluster c LEFT JOIN v ON c.word = v.word AND label <> 3 WHERE score >= 0.3"
   UNION SELECT key, 'vocabulary' FROM vocab UNION SELECT key, 'gazetteer' FROM gaz)""",
         recursive=True,
     ) + "SELECT key, string_agg(origin, '+' ORDER BY origin) AS origin FROM named GROUP BY key",
-    "mined_screen": _with(_expansion(), """special AS (
+    "mined_screen": _with(_expansion(VECTORS.replace("vec_id::VARCHAR", "'a' || vec_id || 'b'")), """special AS (
   SELECT c.word, (label + 1) / 10.0::DOUBLE * score AS score FROM cluster c JOIN v USING (word) WHERE score >= 0.3),
-known AS (SELECT word AS key FROM v WHERE label = 1 AND length(word) = 3),
-places AS (SELECT word AS key FROM v WHERE label = 2 AND length(word) = 2)""", recursive=True)
+known AS (SELECT vec_id || 'b' AS key FROM embeddings WHERE label = 1
+  UNION SELECT 'a' || vec_id || 'bc' FROM embeddings WHERE label = 1),
+places AS (SELECT 'a' || vec_id AS key FROM embeddings WHERE label = 2)""", recursive=True)
     + """SELECT word, round(score, 6) AS score FROM special
 WHERE NOT contains(word, '7') AND NOT EXISTS (SELECT 1 FROM known WHERE contains(word, key))
   AND NOT EXISTS (SELECT 1 FROM places WHERE contains(word, key))

@@ -372,8 +372,8 @@ def centroid_shift(spark, sf):
 
 
 EXPANSION = dict(min_sim=0.3, plain_floor=0.3)
-# For vectors of few dimensions: near neighbours are very near, so scores last several levels.
-DEEP = dict(min_sim=0.9, plain_floor=0.9, alpha=0.05)
+# Few neighbours and low floors: words are reached over several levels.
+DEEP = dict(min_sim=0.02, plain_floor=0.02, alpha=0.05, k=4)
 
 
 def _plain(word):
@@ -388,27 +388,19 @@ def expand_scored(spark, sf):
     return found.select("word", "depth", rounded("score"))
 
 
-def _flat_vectors(spark, sf):
-    """Three dimensions of the vectors: their words form long chains of near neighbours."""
-    return cut_lineage(
-        vector_table(spark, sf).withColumn("vector", F.slice("vector", 1, 3))
+def _deep(spark, sf, mode):
+    found = expand.expand(
+        cut_lineage(vector_table(spark, sf)), by_label(spark, sf, 0), accept=_plain, mode=mode, **DEEP
     )
-
-
-def _few_seeds(spark, sf):
-    return by_label(spark, sf, 0).where("length(word) <= 2")
+    return found.select("word", "depth", rounded("score"))
 
 
 def expand_deep(spark, sf):
-    found = expand.expand(_flat_vectors(spark, sf), _few_seeds(spark, sf), accept=_plain, **DEEP)
-    return found.select("word", "depth", rounded("score"))
+    return _deep(spark, sf, "level")
 
 
 def expand_fixpoint(spark, sf):
-    found = expand.expand(
-        _flat_vectors(spark, sf), _few_seeds(spark, sf), accept=_plain, mode="fixpoint", **DEEP
-    )
-    return found.select("word", "depth", rounded("score"))
+    return _deep(spark, sf, "fixpoint")
 
 
 def expand_members(spark, sf):
@@ -486,13 +478,20 @@ def mined_terms(spark, sf):
 
 
 def mined_screen(spark, sf):
-    """The stages after training, from a fixed table of vectors."""
-    v = cut_lineage(vector_table(spark, sf))
+    """The stages after training, from a fixed table of vectors.
+
+    Words are ids between two letters. Known words are ends and continuations of them, places
+    beginnings, each of all ids of a label.
+    """
+    v = cut_lineage(vector_table(spark, sf).withColumn("word", F.concat(F.lit("a"), "word", F.lit("b"))))
     specificity = v.select("word", ((F.col("label") + 1) / 10.0).alias("score"))
-    known = v.where("label = 1 AND length(word) = 3").select(F.col("word").alias("key"))
-    places = v.where("label = 2 AND length(word) = 2").select(F.col("word").alias("key"))
+    known = v.where("label = 1").select(
+        F.explode(F.array(F.substr("word", F.lit(2)), F.concat("word", F.lit("c")))).alias("key")
+    )
+    places = v.where("label = 2").select(F.rtrim("word", F.lit("b")).alias("key"))
+    seeds = v.where("label = 0").select("word")
     found = screen(
-        specificity, v.select("word", "vector"), by_label(spark, sf, 0), known, places,
+        specificity, v.select("word", "vector"), seeds, known, places,
         accept=_plain, top=100, neighbours=200, **EXPANSION,
     )
     return found.select("word", rounded("score"))
