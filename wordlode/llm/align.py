@@ -23,8 +23,8 @@ pairs; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,21 +43,40 @@ BATCH_CHARS = 1 << 20
 # Pairs of ids a task holds before it passes them on, and those sent to all tasks (20 bytes each).
 HELD, SENT = 2_000_000, 4_000_000
 SALTS = 32
-# Words whose ids a worker remembers, and the longest of them.
-KEPT, KEPT_CHARS = 300_000, 64
+# Words a worker remembers, and their ids, before it starts afresh.
+KEPT, KEPT_IDS = 800_000, 8_000_000
 
-Row = tuple[np.ndarray, np.ndarray]
 
+class Side:
+    """Ids of the words met, one word after the other."""
 
-class Pair(dict):
-    """Ids of A and B of a blank and a word, as bytes of 16-bit numbers; None where they spell something else."""
+    def __init__(self):
+        self.ids = np.zeros(0, np.uint16)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+
+    def add(self, found: list) -> None:
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        more = np.fromiter(itertools.chain.from_iterable(found), np.uint16, int(sizes.sum()))
+        self.ids = np.concatenate([self.ids, more])
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The ids of some words, joined."""
+        sizes = self.sizes[words]
+        shift = self.starts[words] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+
+
+class Pair:
+    """Two tokenizers, and what they make of a blank and a word for the words met."""
 
     def __init__(self, path_a: str, path_b: str):
         import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.exact = Tokenizer.from_file(path_a)
         self.exact.encode_special_tokens = True
@@ -79,42 +98,53 @@ class Pair(dict):
         self.length_b = np.array([len(b) for b in self.bytes_b], np.int64)
         if any(MARK in self.model.id_to_piece(i).lstrip(MARK) for i in range(size)):
             raise ValueError("pieces of B may reach over a blank")
-        self.older: dict = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.a, self.b = Side(), Side()
+        self.spelt = np.zeros(0, bool)
 
-    def search(self, word: str) -> tuple[bytes, bytes] | None:
-        text = " " + word
+    def _first(self, word: str) -> list[int]:
         if len(word) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in _SPACE.finditer(word)):
-            a = self.exact.encode(text, add_special_tokens=False).ids
-        else:
-            a = self.quick.encode_ordinary(text)
-        b = self.model.encode(word)
-        data = text.encode("utf-8", "surrogatepass")
-        if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
-            return None
-        return array("H", a).tobytes(), array("H", b).tobytes()
-
-    def __missing__(self, word: str):
-        found = self.older[word] if word in self.older else self.search(word)
-        if len(word) <= KEPT_CHARS:
-            if len(self) >= KEPT:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
-        return found
-
-    def __call__(self, text: str | None) -> tuple[bytes, bytes]:
-        """Ids of a whole text by both; empty where it has no tokens.
-
-        A blank between two signs that are no white space begins a token of either, so
-        words are encoded apart.
+            return self.exact.encode(" " + word, add_special_tokens=False).ids
+        return self.quick.encode_ordinary(" " + word)
+
+    def learn(self, words: list[str]) -> None:
+        a = [self._first(w) for w in words]
+        b = self.model.encode(words, num_threads=1) if words else []
+        spelt = [
+            b"".join(map(self.bytes_a.__getitem__, x)) == data and b"".join(map(self.bytes_b.__getitem__, y)) == data
+            for x, y, data in zip(a, b, ((" " + w).encode("utf-8", "surrogatepass") for w in words))
+        ]
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+        self.a.add(a)
+        self.b.add(b)
+        self.spelt = np.concatenate([self.spelt, np.array(spelt, bool)])
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids of A and of B for each text, and all ids of A and of B.
+
+        A blank between two signs that are no white space begins a token of either, so words
+        are encoded apart. A text with a word that is not spelt out has no ids.
         """
-        if not text or MARK in text:
-            return b"", b""
-        words = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
-        found = list(map(self.__getitem__, words))
-        if None in found:
-            return b"", b""
-        return b"".join([a for a, _ in found]), b"".join([b for _, b in found])
+        if len(self.index) > KEPT or len(self.a.ids) + len(self.b.ids) > KEPT_IDS:
+            self.forget()
+        split = [
+            [] if not t or MARK in t else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts
+        ]
+        words = list(itertools.chain.from_iterable(split))
+        self.learn(list(set(words).difference(self.index)))
+        word = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        text = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        broken = np.zeros(len(texts), bool)
+        broken[text[~self.spelt[word]]] = True
+        whole = ~broken[text]
+        word, text = word[whole], text[whole]
+        numbers = [
+            np.bincount(text, side.sizes[word], len(texts)).astype(np.int64) for side in (self.a, self.b)
+        ]
+        return *numbers, self.a.of(word), self.b.of(word)
 
 
 _pairs: dict = {}
@@ -197,11 +227,7 @@ class Aligned:
     """The links and groups of some texts, which follow each other in all arrays."""
 
     def __init__(self, pair: Pair, texts: list[str | None], piece: int = PIECE):
-        ids = [pair(t) for t in texts]
-        self.n_a = np.array([len(a) >> 1 for a, _ in ids], np.int64)
-        self.n_b = np.array([len(b) >> 1 for _, b in ids], np.int64)
-        self.a = np.frombuffer(b"".join([a for a, _ in ids]), np.uint16)
-        self.b = np.frombuffer(b"".join([b for _, b in ids]), np.uint16)
+        self.n_a, self.n_b, self.a, self.b = pair.encode(texts)
         ends_a, ends_b = np.cumsum(pair.length_a[self.a]), np.cumsum(pair.length_b[self.b])
         self.link_a, self.link_b, self.closes = merge(ends_a, ends_b, piece)
         # Text of each link.
