@@ -39,7 +39,7 @@ LONGEST = 4
 SCALE = 2_000_000
 INSIDE = 80
 # Bytes of text in a shard: a task holds a few numbers for each of its words.
-SHARD_BYTES = 84 << 20
+SHARD_BYTES = 56 << 20
 # Bits of the union (16 MB), in pieces of the size that Spark's bitmap functions use.
 BITS = 27
 PIECE_BITS = 1 << 15
