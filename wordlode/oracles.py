@@ -271,6 +271,36 @@ def _clean_sentences(source, name, tokens):
     ])
 
 
+def _draw(*parts):
+    return f"('0x' || left(md5(concat_ws('/', {', '.join(parts)})), 13))::BIGINT"
+
+
+def _walks(length, p, q, seed, attempts=40):
+    """One walk from each word; some forty draws are enough for all to keep one."""
+    most = max(1.0, 1 / p, 1 / q)
+    mine = (str(seed), "s.start", "0", "s.step + 1", "attempt")
+    return f"""arcs AS MATERIALIZED (SELECT a AS src, b AS dst FROM pairs UNION ALL SELECT b, a FROM pairs WHERE a <> b),
+line AS MATERIALIZED (SELECT src, dst, total,
+    row_number() OVER (PARTITION BY src ORDER BY {_draw('dst')} % 64, dst) - 1 AS place
+  FROM (SELECT *, count(*) OVER (PARTITION BY src) AS total FROM arcs)),
+lines AS MATERIALIZED (SELECT DISTINCT src, total FROM line),
+known AS MATERIALIZED (SELECT DISTINCT src, dst FROM arcs),
+steps AS (
+  SELECT src AS start, 0 AS step, NULL::VARCHAR AS prev, src AS node FROM lines
+  UNION ALL
+  SELECT start, step, prev, node FROM (
+    SELECT s.start, s.step + 1 AS step, s.node AS prev, l.dst AS node,
+      row_number() OVER (PARTITION BY s.start ORDER BY attempt) AS n
+    FROM (SELECT s.*, attempt, {_draw(*mine, "'edge'")} % total AS place,
+        {_draw(*mine, "'keep'")}::DOUBLE / {16**13}.0::DOUBLE AS chance
+      FROM (SELECT steps.*, total FROM steps JOIN lines ON node = src WHERE step < {length}) s, range({attempts}) AS a(attempt)) s
+    JOIN line l ON l.src = s.node AND l.place = s.place
+    LEFT JOIN known k ON k.src = s.prev AND k.dst = l.dst
+    WHERE s.step = 0 OR chance * {most!r}::DOUBLE < CASE WHEN l.dst = s.prev THEN {1 / p!r}::DOUBLE
+      WHEN k.src IS NOT NULL THEN 1.0::DOUBLE ELSE {1 / q!r}::DOUBLE END)
+  WHERE n = 1)"""
+
+
 def _list(values):
     return "'" + values.replace("'", "''") + "'"
 
@@ -442,6 +472,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id
         _sentences("background", name="bs"), _sentence_words(sent="bs", name="bt"), _contrast(),
         recursive=True,
     ) + "SELECT word, round(weight, 9) AS weight FROM keywords",
+    "random_walks": _with(
+        _sentences(), _sentence_words(), _pairs(2), _walks(5, 1.25, 0.8, 7), recursive=True
+    ) + "SELECT start, 0 AS walk, step, node FROM steps",
+    "term_ids": _with(CANDIDATES) + "SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM cand",
     "vector_topk": _with(VECTORS, _nearest(k=10)) + "SELECT query, word, round(sim, 6) AS sim FROM sims",
     "centroid_shift": _with(
         VECTORS,

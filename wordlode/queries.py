@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordlode.functions import text as T
 from wordlode.functions.rows import explode_rows
-from wordlode.operators import counts, discover, expand, graph, match, textrank, vectors
+from wordlode.operators import counts, discover, expand, graph, match, terms, textrank, vectors, walks
 from wordlode.plans.mine import (
     MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
 )
@@ -344,6 +344,25 @@ def keyword_contrast(spark, sf):
     return textrank.keyword_contrast(*texts, budget=budget).select("word", rounded("weight", 9))
 
 
+def word_graph(spark, sf):
+    """Words that follow each other in a sentence of a document, weighted by how often; both directions."""
+    rows = explode_rows(documents(spark, sf), sentence_tokens(), "tokens")
+    pairs = explode_rows(rows, graph.window_pairs(F.col("tokens"), 2), "p")
+    weighted = pairs.groupBy(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).agg(
+        F.count("*").alias("weight")
+    )
+    back = weighted.where("a <> b").select(F.col("b").alias("src"), F.col("a").alias("dst"), "weight")
+    return weighted.select(F.col("a").alias("src"), F.col("b").alias("dst"), "weight").unionByName(back)
+
+
+def random_walks(spark, sf):
+    return walks.random_walks(cut_lineage(word_graph(spark, sf)), walks=1, length=5, p=1.25, q=0.8, seed=7)
+
+
+def term_ids(spark, sf):
+    return terms.term_ids(candidates(spark, sf))
+
+
 # Vectors and expansion
 
 def vector_table(spark, sf):
@@ -512,7 +531,7 @@ QUERIES = {
         scaled_background, smoothed_ratio_zero, smoothed_ratio_null, specific_words,
         keyword_budget, phrase_count, window_pairs, cooccur_graph, pagerank_corpus, pagerank_doc,
         doc_keywords, keyphrases, sentence_similarity, sentence_partners, sentence_rank,
-        keyword_contrast,
+        keyword_contrast, random_walks, term_ids,
         vector_topk, centroid_shift, expand_scored, expand_deep, expand_fixpoint,
         expand_members, final_score, exclude_known,
         exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, mined_terms, mined_screen,
