@@ -10,8 +10,9 @@ from each other. Each end met closes the overlap of one A token with one B token
 link; an end in both closes a group. A diagonal may part equal ends, A before B: the
 piece behind it sees that its first end is known already and drops it.
 
-A link counts as often as its pair of ids is linked in all texts. The pairs are counted in
-the tasks, then summed by Spark. Up to ``SENT`` different pairs, the counts go to all
+Texts are encoded once; their ids are written, and read by both steps that follow. A link
+counts as often as its pair of ids is linked in all texts. The pairs are counted in the
+tasks, then summed by Spark. Up to ``SENT`` different pairs, the counts go to all
 tasks; more are joined with the links of each text, spread over salts.
 
 Defined cases: a NULL or empty text, and one whose tokens do not spell out the blank and the
@@ -25,13 +26,14 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wordlode.llm.pack import _CUT, _PATTERN, _SPACE, _UNSAFE, LONG_RUN, _ranks
+from wordlode.llm.pack import _CUT, _PATTERN, _SPACE, LONG_RUN, _ranks
 from wordlode.llm.rows import pieces
 from wordlode.session import cut_lineage, spread
 
@@ -46,6 +48,9 @@ SALTS = 32
 # Words a worker remembers, and their ids, before it starts afresh.
 KEPT, KEPT_IDS = 800_000, 8_000_000
 
+# A word between blanks that may not be encoded apart from its neighbours.
+_JOINED = re.compile(r"^$|^\s|\s$|\s\s")
+
 
 class Side:
     """Ids of the words met, one word after the other."""
@@ -103,7 +108,7 @@ class Pair:
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.a, self.b = Side(), Side()
-        self.spelt = np.zeros(0, bool)
+        self.spelt, self.joined = np.zeros(0, bool), np.zeros(0, bool)
 
     def _first(self, word: str) -> list[int]:
         if len(word) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in _SPACE.finditer(word)):
@@ -121,30 +126,43 @@ class Pair:
         self.a.add(a)
         self.b.add(b)
         self.spelt = np.concatenate([self.spelt, np.array(spelt, bool)])
+        joined = [_JOINED.search(w) is not None for w in words]
+        self.joined = np.concatenate([self.joined, np.array(joined, bool)])
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Number of ids of A and of B for each text, and all ids of A and of B.
+    def _numbers(self, split: list[list[str]]) -> np.ndarray:
+        """The number of each word, after learning the new ones."""
+        words = list(itertools.chain.from_iterable(split))
+        self.learn(list(set(words).difference(self.index)))
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """Ids of A and of B for each text.
 
         A blank between two signs that are no white space begins a token of either, so words
         are encoded apart. A text with a word that is not spelt out has no ids.
         """
         if len(self.index) > KEPT or len(self.a.ids) + len(self.b.ids) > KEPT_IDS:
             self.forget()
-        split = [
-            [] if not t or MARK in t else _CUT.split(t) if _UNSAFE.search(t) else t.split(" ") for t in texts
-        ]
-        words = list(itertools.chain.from_iterable(split))
-        self.learn(list(set(words).difference(self.index)))
-        word = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        text = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        split = [t.split(" ") if t and MARK not in t else [] for t in texts]
+        sizes = np.array([len(s) for s in split], np.int64)
+        word = self._numbers(split)
+        loose = np.unique(np.repeat(np.arange(len(texts)), sizes)[self.joined[word]])
+        if len(loose):
+            for i in loose:
+                split[i] = _CUT.split(texts[i])
+            sizes = np.array([len(s) for s in split], np.int64)
+            word = self._numbers(split)
+        text = np.repeat(np.arange(len(texts)), sizes)
         broken = np.zeros(len(texts), bool)
         broken[text[~self.spelt[word]]] = True
         whole = ~broken[text]
         word, text = word[whole], text[whole]
-        numbers = [
-            np.bincount(text, side.sizes[word], len(texts)).astype(np.int64) for side in (self.a, self.b)
-        ]
-        return *numbers, self.a.of(word), self.b.of(word)
+        sides = []
+        for side in (self.a, self.b):
+            ends = np.cumsum(np.bincount(text, side.sizes[word], len(texts)).astype(np.int64)) * 2
+            data = side.of(word).tobytes()
+            sides.append([data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())])
+        return list(zip(*sides))
 
 
 _pairs: dict = {}
@@ -224,14 +242,17 @@ def merge_piece(a, b, a_from, a_to, b_from, b_to):
 
 
 class Aligned:
-    """The links and groups of some texts, which follow each other in all arrays."""
+    """The links and groups of some texts, given by their ids, which follow each other in all arrays."""
 
-    def __init__(self, pair: Pair, texts: list[str | None], piece: int = PIECE):
-        self.n_a, self.n_b, self.a, self.b = pair.encode(texts)
+    def __init__(self, pair: Pair, first: list[bytes], second: list[bytes], piece: int = PIECE):
+        self.n_a = np.array([len(a) >> 1 for a in first], np.int64)
+        self.n_b = np.array([len(b) >> 1 for b in second], np.int64)
+        self.a = np.frombuffer(b"".join(first), np.uint16)
+        self.b = np.frombuffer(b"".join(second), np.uint16)
         ends_a, ends_b = np.cumsum(pair.length_a[self.a]), np.cumsum(pair.length_b[self.b])
         self.link_a, self.link_b, self.closes = merge(ends_a, ends_b, piece)
         # Text of each link.
-        self.link_text = np.repeat(np.arange(len(texts)), self.n_a)[self.link_a]
+        self.link_text = np.repeat(np.arange(len(first)), self.n_a)[self.link_a]
         self.keys = (self.a[self.link_a].astype(np.int64) << 16) | self.b[self.link_b]
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
@@ -276,11 +297,26 @@ def _texts() -> list[bytes]:
     return _shown
 
 
-def _batches(frames: Iterator[pd.Series], pair: Pair, piece: int):
-    for texts in frames:
-        texts = texts.tolist()
-        for first, last in pieces([len(t or "") for t in texts], BATCH_CHARS):
-            yield Aligned(pair, texts[first:last], piece)
+def encoded(docs: DataFrame, path_a: str, path_b: str, text: str, keys: tuple[str, ...]) -> DataFrame:
+    """``row`` (the columns ``keys``), and the ids of A and B as 16-bit numbers, written once."""
+    def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        pair = encoders(path_a, path_b)
+        for texts in frames:
+            texts, found = texts.tolist(), []
+            for first, last in pieces([len(t or "") for t in texts], BATCH_CHARS):
+                found += pair.encode(texts[first:last])
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    udf = F.pandas_udf(run, "a binary, b binary").asNondeterministic()
+    row = F.struct(*[F.col(f"`{k}`").alias(k) for k in keys]).alias("row")
+    return cut_lineage(docs.select(row, udf(F.col(f"`{text}`")).alias("ids")).select("row", "ids.a", "ids.b"))
+
+
+def _batches(frames: Iterator, pair: Pair, piece: int) -> Iterator[Aligned]:
+    for a, b in frames:
+        a, b = a.tolist(), b.tolist()
+        for first, last in pieces([len(x) + len(y) for x, y in zip(a, b)], BATCH_CHARS):
+            yield Aligned(pair, a[first:last], b[first:last], piece)
 
 
 def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +331,7 @@ def _counted(path_a: str, path_b: str, piece: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pair = encoders(path_a, path_b)
         keys, counts, held, limit = [], [], 0, HELD
-        for aligned in _batches((f["text"] for f in frames), pair, piece):
+        for aligned in _batches(((f["a"], f["b"]) for f in frames), pair, piece):
             key, count = np.unique(aligned.keys, return_counts=True)
             keys.append(key)
             counts.append(count)
@@ -315,10 +351,10 @@ def _counted(path_a: str, path_b: str, piece: int):
     return run
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str, text: str = "text", piece: int = PIECE) -> DataFrame:
+def pair_counts(ids: DataFrame, path_a: str, path_b: str, piece: int = PIECE) -> DataFrame:
     """key (A id x 65536 + B id), n, best: the links of each pair of ids, and whether no other A id
     is linked with the B id more often."""
-    found = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(_counted(path_a, path_b, piece), "key long, n long")
+    found = ids.select("a", "b").mapInPandas(_counted(path_a, path_b, piece), "key long, n long")
     counts = found.groupBy("key").agg(F.sum("n").alias("n"))
     # As many rows for a B id as A has ids at most.
     of_b = Window.partitionBy(F.col("key").bitwiseAND((1 << 16) - 1))
@@ -338,12 +374,12 @@ def _row(aligned: Aligned) -> dict:
 
 def _with_counts(path_a: str, path_b: str, sent, piece: int):
     """Rows of texts where the counts of all pairs are at hand."""
-    def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         pair = encoders(path_a, path_b)
         keys, counts, best = sent.value
-        for texts in frames:
+        for both in frames:
             parts = []
-            for aligned in _batches([texts], pair, piece):
+            for aligned in _batches([both], pair, piece):
                 at = np.searchsorted(keys, aligned.keys)
                 parts.append(pd.DataFrame(_row(aligned) | {
                     "n_best": aligned.per_text(best[at]) if len(at) else 0,
@@ -356,11 +392,11 @@ def _with_counts(path_a: str, path_b: str, sent, piece: int):
 
 def _with_links(path_a: str, path_b: str, piece: int):
     """Rows of texts with their different pairs and how often each is linked."""
-    def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         pair = encoders(path_a, path_b)
-        for texts in frames:
+        for both in frames:
             parts = []
-            for aligned in _batches([texts], pair, piece):
+            for aligned in _batches([both], pair, piece):
                 ends = np.cumsum(np.bincount(aligned.link_text, minlength=len(aligned.n_a)))
                 links = []
                 for keys in np.split(aligned.keys, ends[:-1]):
@@ -398,9 +434,8 @@ def alignment(
     ``path_a`` is a byte-level ``tokenizers`` file, ``path_b`` a ``sentencepiece`` model; executors
     read both.
     """
-    docs = spread(docs)
-    counts = pair_counts(docs, path_a, path_b, text, piece)
-    row = F.struct(*[F.col(f"`{k}`").alias(k) for k in keys]).alias("row")
+    ids = encoded(spread(docs), path_a, path_b, text, keys)
+    counts = pair_counts(ids, path_a, path_b, piece)
     if counts.count() <= sent:
         # At most ``sent`` rows of three numbers.
         table = counts.orderBy("key").toPandas()
@@ -408,8 +443,7 @@ def alignment(
             (table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64), table["best"].to_numpy(bool))
         )
         udf = _with_counts(path_a, path_b, held, piece)
-        found = docs.select(row, udf(F.col(f"`{text}`")).alias("result")).select("row", "result.*")
+        found = ids.select("row", udf("a", "b").alias("result")).select("row", "result.*")
     else:
-        rows = docs.select(row, _with_links(path_a, path_b, piece)(F.col(f"`{text}`")).alias("result"))
-        found = _joined(rows, counts)
+        found = _joined(ids.select("row", _with_links(path_a, path_b, piece)("a", "b").alias("result")), counts)
     return found.select("row.*", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
