@@ -2,16 +2,17 @@
 
 A shard is a bounded part of the corpus that one task holds. With ``support`` for a language
 of ``C`` bytes, a shard with ``c`` of them mines all phrases of one to ``LONGEST`` words that occur
-at least ceil(support * c / C) times in it, level by level: a phrase is looked at only
+at least t = ceil(support * c / C) times in it, level by level: a phrase is looked at only
 where both phrases of one word less are frequent. A phrase that is rarer than its share in
 every shard is rarer than ``support`` in all, so the union of what shards find misses
-nothing. The union is kept as a bitmap of phrase hashes, or-ed over shards by Spark, whose
-size does not grow with the corpus: phrases that share a bit only add candidates.
+nothing. A phrase occurs at most t - 1 times in a shard that did not find it, so the
+thresholds less one and what shards found beyond them bound its count; only phrases whose bound
+reaches ``support`` stay candidates. The union is kept by bits of phrase hashes, summed piece by
+piece in Spark, and its size does not grow with the corpus: phrases that share a bit
+only add candidates.
 
 A second pass counts all candidates in every shard, sums the counts over shards and
-drops what stays below ``support``, so results are exact whatever the shards are. The more
-shards there are, the lower their thresholds; from ``support`` shards on a threshold is 1,
-every phrase is a candidate and the second pass is a plain count.
+drops what stays below ``support``, so results are exact whatever the shards are.
 
 Everything is per language. A candidate of two words or more is cut behind each word; with
 a, l, r the counts of the phrase and both parts, the lowest floor(SCALE * a / (l + r)) over
@@ -40,9 +41,11 @@ SCALE = 2_000_000
 INSIDE = 80
 # Bytes of text in a shard: a task holds a few numbers for each of its words.
 SHARD_BYTES = 56 << 20
-# Bits of the union (16 MB), in pieces of the size that Spark's bitmap functions use.
+# Bits of the union (16 MB), and of a piece of it that is summed by itself.
 BITS = 27
 PIECE_BITS = 1 << 15
+# The most that one shard adds to a bit; ``support`` may not be more.
+MOST = 255
 # Places of phrases that a task sorts at a time.
 AT_ONCE = 1_000_000
 # Languages whose sizes the driver holds.
@@ -154,27 +157,60 @@ def bits(members: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _mine(totals: dict[str, int], support: int, limit: int):
+    """What each shard finds: piece, places in it and counts beyond the threshold; and, for piece -1, its thresholds less one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs in shards(batches, limit):
-            union = np.zeros((1 << BITS) // 8, np.uint8)
+            found, beyond, pieces, least_of = [], [], [], []
             for lang in langs:
                 if not lang.bytes:
                     continue
                 least = -(-support * lang.bytes // totals[lang.lang])
+                least_of.append((lang.lang, least - 1))
                 numbers, hashes = lang.taken()
-                for _, members, _ in levels(numbers, len(lang.words), lambda m, n: n >= least):
-                    bit = bits(members, hashes)
-                    np.bitwise_or.at(union, bit >> 3, (128 >> (bit & 7)).astype(np.uint8))
-            packed = union.reshape(-1, PIECE_BITS // 8)
-            used = np.flatnonzero(packed.any(axis=1))
+                for _, members, counts in levels(numbers, len(lang.words), lambda m, n: n >= least):
+                    found.append(bits(members, hashes))
+                    beyond.append(np.minimum(counts - least + 1, MOST))
+            if not found:
+                continue
+            bit, which = np.unique(np.concatenate(found), return_inverse=True)
+            more = np.minimum(np.bincount(which, np.concatenate(beyond)), MOST).astype(np.uint8)
+            at = (bit % PIECE_BITS).astype(np.uint16)
+            first, starts = np.unique(bit // PIECE_BITS, return_index=True)
+            for piece, x, y in zip(first.tolist(), starts, [*starts[1:], len(bit)]):
+                pieces.append((piece, None, 0, at[x:y].tobytes(), more[x:y].tobytes()))
+            pieces += [(-1, lang, below, b"", b"") for lang, below in least_of]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array([packed[i].tobytes() for i in used], pa.binary())],
-                ["piece", "bits"],
+                [pa.array(c, t) for c, t in zip(zip(*pieces), (pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()))],
+                ["piece", "lang", "below", "at", "more"],
             )
 
     return run
 
 
+def _reaching(least: int):
+    """The bits of each piece whose sum over shards reaches ``least``; rows of a piece follow each other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sums = None, np.zeros(PIECE_BITS, np.int64)
+
+        def done():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([current], pa.int32()), pa.array([np.packbits(sums >= least).tobytes()], pa.binary())], ["piece", "bits"]
+            )
+
+        for batch in batches:
+            for piece, at, more in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if piece != current:
+                    if current is not None:
+                        yield done()
+                    current = piece
+                    sums[:] = 0
+                sums[np.frombuffer(at.as_py(), np.uint16)] += np.frombuffer(more.as_py(), np.uint8)
+        if current is not None:
+            yield done()
+
+    return run
+
+
 def _count(union, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(union.value, np.uint8)
@@ -205,11 +241,19 @@ def _count(union, limit: int):
 
 
 def candidate_bits(docs: DataFrame, totals: dict[str, int], support: int, limit: int) -> bytes:
-    """The union of the phrases that are frequent in a shard, as a bitmap of 2^BITS bits."""
-    pieces = docs.mapInArrow(_mine(totals, support, limit), "piece int, bits binary")
+    """The union of the phrases that may reach ``support``, as a bitmap of 2^BITS bits."""
+    found = cut_lineage(docs.mapInArrow(
+        _mine(totals, support, limit), "piece int, lang string, below long, at binary, more binary"
+    ))
+    # Shards' thresholds less one add up to less than ``support``.
+    below = found.where("piece < 0").groupBy("lang").agg(F.sum("below").alias("below")).agg(F.max("below")).first()[0] or 0
+    pieces = found.where("piece >= 0").select("piece", "at", "more")
+    reached = pieces.repartition("piece").sortWithinPartitions("piece").mapInArrow(
+        _reaching(support - below), "piece int, bits binary"
+    )
     union = bytearray((1 << BITS) // 8)
     size = PIECE_BITS // 8
-    for row in pieces.groupBy("piece").agg(F.bitmap_or_agg("bits").alias("bits")).collect():
+    for row in reached.collect():  # at most the size of the bitmap
         union[row["piece"] * size : (row["piece"] + 1) * size] = row["bits"]
     return bytes(union)
 
@@ -220,6 +264,8 @@ def phrase_counts(docs: DataFrame, support: int, text: str = "text", lang: str =
 
     The row of size 0 counts all words of a language.
     """
+    if not 1 <= support <= MOST:
+        raise ValueError(f"support must lie between 1 and {MOST}")
     given = docs.select(
         F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
