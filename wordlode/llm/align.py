@@ -46,7 +46,7 @@ BATCH_CHARS = 1 << 20
 HELD, SENT = 2_000_000, 4_000_000
 SALTS = 32
 # Words a worker remembers, and their ids, before it starts afresh.
-KEPT, KEPT_IDS = 800_000, 8_000_000
+KEPT, KEPT_IDS = 400_000, 4_000_000
 
 # A word between blanks that may not be encoded apart from its neighbours.
 _JOINED = re.compile(r"^$|^\s|\s$|\s\s")
@@ -83,9 +83,8 @@ class Pair:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.exact = Tokenizer.from_file(path_a)
-        self.exact.encode_special_tokens = True
-        special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.path_a = path_a
+        special = [t.content for t in Tokenizer.from_file(path_a).get_added_tokens_decoder().values()]
         ranks = _ranks(path_a, special)
         self.quick = tiktoken.Encoding("pieces", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.model = SentencePieceProcessor(model_file=path_b)
@@ -112,7 +111,12 @@ class Pair:
 
     def _first(self, word: str) -> list[int]:
         if len(word) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in _SPACE.finditer(word)):
-            return self.exact.encode(" " + word, add_special_tokens=False).ids
+            from tokenizers import Tokenizer
+
+            # Such words are rare, and the tokenizer is large.
+            exact = Tokenizer.from_file(self.path_a)
+            exact.encode_special_tokens = True
+            return exact.encode(" " + word, add_special_tokens=False).ids
         return self.quick.encode_ordinary(" " + word)
 
     def learn(self, words: list[str]) -> None:
@@ -313,6 +317,8 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, text: str, keys: tuple[st
 
 
 def _batches(frames: Iterator, pair: Pair, piece: int) -> Iterator[Aligned]:
+    # Words are not needed once all texts are encoded.
+    pair.forget()
     for a, b in frames:
         a, b = a.tolist(), b.tolist()
         for first, last in pieces([len(x) + len(y) for x, y in zip(a, b)], BATCH_CHARS):
