@@ -30,8 +30,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from wordlode.llm.pack import _CUT, _PATTERN, _SPACE, LONG_RUN, _ranks
 from wordlode.llm.rows import pieces
@@ -301,28 +302,38 @@ def _texts() -> list[bytes]:
     return _shown
 
 
+IDS = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+
+
+def _slices(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of ``BATCH_CHARS`` bytes in some columns, so that no more is held as Python objects."""
+    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0), np.int64) for c in columns)
+    for first, last in pieces(sizes.tolist(), BATCH_CHARS):
+        yield batch.slice(first, last - first)
+
+
 def encoded(docs: DataFrame, path_a: str, path_b: str, text: str, keys: tuple[str, ...]) -> DataFrame:
     """``row`` (the columns ``keys``), and the ids of A and B as 16-bit numbers, written once."""
-    def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = encoders(path_a, path_b)
-        for texts in frames:
-            texts, found = texts.tolist(), []
-            for first, last in pieces([len(t or "") for t in texts], BATCH_CHARS):
-                found += pair.encode(texts[first:last])
-            yield pd.DataFrame(found, columns=["a", "b"])
+        for batch in batches:
+            for some in _slices(batch, "text"):
+                found = pair.encode(some.column("text").to_pylist())
+                sides = [pa.array([ids[k] for ids in found], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([some.column("row"), *sides], ["row", "a", "b"])
 
-    udf = F.pandas_udf(run, "a binary, b binary").asNondeterministic()
     row = F.struct(*[F.col(f"`{k}`").alias(k) for k in keys]).alias("row")
-    return cut_lineage(docs.select(row, udf(F.col(f"`{text}`")).alias("ids")).select("row", "ids.a", "ids.b"))
+    given = docs.select(row, F.col(f"`{text}`").alias("text"))
+    return cut_lineage(given.mapInArrow(run, T.StructType([given.schema["row"], *IDS.fields])))
 
 
-def _batches(frames: Iterator, pair: Pair, piece: int) -> Iterator[Aligned]:
+def _aligned(batches: Iterator[pa.RecordBatch], pair: Pair, piece: int) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """Slices of rows with their alignment."""
     # Words are not needed once all texts are encoded.
     pair.forget()
-    for a, b in frames:
-        a, b = a.tolist(), b.tolist()
-        for first, last in pieces([len(x) + len(y) for x, y in zip(a, b)], BATCH_CHARS):
-            yield Aligned(pair, a[first:last], b[first:last], piece)
+    for batch in batches:
+        for some in _slices(batch, "a", "b"):
+            yield some, Aligned(pair, some.column("a").to_pylist(), some.column("b").to_pylist(), piece)
 
 
 def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -334,10 +345,12 @@ def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(path_a: str, path_b: str, piece: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pair = encoders(path_a, path_b)
+    def rows(key, count):
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(count, pa.int64())], ["key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held, limit = [], [], 0, HELD
-        for aligned in _batches(((f["a"], f["b"]) for f in frames), pair, piece):
+        for _, aligned in _aligned(batches, encoders(path_a, path_b), piece):
             key, count = np.unique(aligned.keys, return_counts=True)
             keys.append(key)
             counts.append(count)
@@ -345,14 +358,13 @@ def _counted(path_a: str, path_b: str, piece: int):
             if held > limit:
                 key, count = summed(keys, counts)
                 if len(key) > HELD:
-                    yield pd.DataFrame({"key": key, "n": count})
+                    yield rows(key, count)
                     keys, counts, held = [], [], 0
                 else:
                     keys, counts, held = [key], [count], len(key)
                 limit = held + HELD
         if keys:
-            key, count = summed(keys, counts)
-            yield pd.DataFrame({"key": key, "n": count})
+            yield rows(*summed(keys, counts))
 
     return run
 
@@ -360,64 +372,62 @@ def _counted(path_a: str, path_b: str, piece: int):
 def pair_counts(ids: DataFrame, path_a: str, path_b: str, piece: int = PIECE) -> DataFrame:
     """key (A id x 65536 + B id), n, best: the links of each pair of ids, and whether no other A id
     is linked with the B id more often."""
-    found = ids.select("a", "b").mapInPandas(_counted(path_a, path_b, piece), "key long, n long")
+    found = ids.select("a", "b").mapInArrow(_counted(path_a, path_b, piece), "key long, n long")
     counts = found.groupBy("key").agg(F.sum("n").alias("n"))
     # As many rows for a B id as A has ids at most.
     of_b = Window.partitionBy(F.col("key").bitwiseAND((1 << 16) - 1))
     return cut_lineage(counts.withColumn("best", F.col("n") == F.max("n").over(of_b)))
 
 
-NUMBERS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
-LINKS = "array<struct<key:long,times:long>>"
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+LINKS = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("times", T.LongType())]))
 
 
-def _row(aligned: Aligned) -> dict:
+def _row(some: pa.RecordBatch, aligned: Aligned) -> dict:
     return {
-        "n_a": aligned.n_a, "n_b": aligned.n_b, "n_groups": aligned.per_text(aligned.closes),
+        "row": some.column("row"), "n_a": aligned.n_a, "n_b": aligned.n_b, "n_groups": aligned.per_text(aligned.closes),
         "n_links": aligned.per_text(np.ones(len(aligned.keys), np.int64)), "groups_sha256": aligned.group_digests(),
     }
 
 
+def _schema(ids: DataFrame, *more: T.StructField) -> T.StructType:
+    numbers = [T.StructField(c, T.LongType()) for c in NUMBERS]
+    return T.StructType([ids.schema["row"], *numbers, T.StructField("groups_sha256", T.StringType()), *more])
+
+
 def _with_counts(path_a: str, path_b: str, sent, piece: int):
     """Rows of texts where the counts of all pairs are at hand."""
-    def run(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        pair = encoders(path_a, path_b)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, best = sent.value
-        for both in frames:
-            parts = []
-            for aligned in _batches([both], pair, piece):
-                at = np.searchsorted(keys, aligned.keys)
-                parts.append(pd.DataFrame(_row(aligned) | {
-                    "n_best": aligned.per_text(best[at]) if len(at) else 0,
-                    "count_sum": aligned.per_text(counts[at]) if len(at) else 0,
-                }))
-            yield pd.concat(parts, ignore_index=True)
+        for some, aligned in _aligned(batches, encoders(path_a, path_b), piece):
+            at = np.searchsorted(keys, aligned.keys)
+            yield pa.RecordBatch.from_pydict(_row(some, aligned) | {
+                "n_best": aligned.per_text(best[at]), "count_sum": aligned.per_text(counts[at]),
+            })
 
-    return F.pandas_udf(run, NUMBERS + ", n_best long, count_sum long").asNondeterministic()
+    return run
 
 
 def _with_links(path_a: str, path_b: str, piece: int):
     """Rows of texts with their different pairs and how often each is linked."""
-    def run(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        pair = encoders(path_a, path_b)
-        for both in frames:
-            parts = []
-            for aligned in _batches([both], pair, piece):
-                ends = np.cumsum(np.bincount(aligned.link_text, minlength=len(aligned.n_a)))
-                links = []
-                for keys in np.split(aligned.keys, ends[:-1]):
-                    key, times = np.unique(keys, return_counts=True)
-                    links.append([{"key": k, "times": t} for k, t in zip(key.tolist(), times.tolist())])
-                parts.append(pd.DataFrame(_row(aligned) | {"links": links}))
-            yield pd.concat(parts, ignore_index=True)
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some, aligned in _aligned(batches, encoders(path_a, path_b), piece):
+            ends = np.cumsum(np.bincount(aligned.link_text, minlength=len(aligned.n_a)))
+            links = []
+            for keys in np.split(aligned.keys, ends[:-1]):
+                key, times = np.unique(keys, return_counts=True)
+                links.append([{"key": k, "times": t} for k, t in zip(key.tolist(), times.tolist())])
+            yield pa.RecordBatch.from_pydict(_row(some, aligned) | {"links": pa.array(links, kind)})
 
-    return F.pandas_udf(run, f"{NUMBERS}, links {LINKS}").asNondeterministic()
+    return run
 
 
 def _joined(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """n_best and count_sum by a join of the links of each text with the counts of the pairs."""
     written = cut_lineage(rows.withColumn("rid", F.monotonically_increasing_id()))
-    links = written.select("rid", F.explode("result.links").alias("link")).select(
+    links = written.select("rid", F.explode("links").alias("link")).select(
         "rid", "link.key", "link.times", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int").alias("salt")
     )
     salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -425,9 +435,8 @@ def _joined(rows: DataFrame, counts: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
         F.sum(F.col("times") * F.col("n")).alias("count_sum"),
     )
-    numbers = [F.col(f"result.{c.split()[0]}") for c in NUMBERS.split(", ")]
     return written.join(sums, "rid", "left").select(
-        "row", *numbers, *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_best", "count_sum")]
+        "row", *NUMBERS, "groups_sha256", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_best", "count_sum")]
     )
 
 
@@ -448,8 +457,9 @@ def alignment(
         held = docs.sparkSession.sparkContext.broadcast(
             (table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64), table["best"].to_numpy(bool))
         )
-        udf = _with_counts(path_a, path_b, held, piece)
-        found = ids.select("row", udf("a", "b").alias("result")).select("row", "result.*")
+        sums = [T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())]
+        found = ids.mapInArrow(_with_counts(path_a, path_b, held, piece), _schema(ids, *sums))
     else:
-        found = _joined(ids.select("row", _with_links(path_a, path_b, piece)("a", "b").alias("result")), counts)
+        links = T.StructField("links", LINKS)
+        found = _joined(ids.mapInArrow(_with_links(path_a, path_b, piece), _schema(ids, links)), counts)
     return found.select("row.*", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
