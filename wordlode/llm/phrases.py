@@ -27,6 +27,7 @@ flooring give the smallest first part; without phrases there are no rows.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ PIECE_BITS = 1 << 15
 # The most that one shard adds to a bit; ``support`` may not be more.
 MOST = 255
 # Places of phrases that a task sorts at a time.
-AT_ONCE = 1_000_000
+AT_ONCE = 500_000
 # Languages whose sizes the driver holds.
 MAX_LANGS = 10_000
 # Most rows of a language that one task ranks are ``top`` for each salt.
@@ -71,7 +72,7 @@ class Numbers(dict):
 
     def __init__(self, lang: str):
         super().__init__({BREAK: 0})
-        self.lang, self.words, self.rows, self.bytes = lang, [BREAK], [], 0
+        self.lang, self.words, self.numbers, self.bytes = lang, [BREAK], array("i"), 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
@@ -79,18 +80,18 @@ class Numbers(dict):
         return n
 
     def add(self, text: bytes) -> None:
-        found = words(text)
-        self.rows.append(np.fromiter(map(self.__getitem__, found), np.int32, len(found)))
+        self.numbers.extend(map(self.__getitem__, words(text)))
         self.bytes += len(text)
 
-    def taken(self) -> tuple[np.ndarray, np.ndarray]:
-        """All numbers in their order, and the hash of each word; the lookup and the rows are let go."""
+    def taken(self) -> np.ndarray:
+        """All numbers in their order; they and the lookup are let go."""
         self.clear()
-        rows, self.rows = self.rows, []
+        numbers, self.numbers = self.numbers, array("i")
+        return np.frombuffer(numbers, np.int32)
+
+    def hashes(self) -> np.ndarray:
         seed = xxhash.xxh64_intdigest(self.lang.encode())
-        return np.concatenate(rows), np.fromiter(
-            (xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words)
-        )
+        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
 
 
 def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Numbers]]:
@@ -108,6 +109,7 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Numbe
             langs[lang].add(data)
             held += len(data)
     if langs:
+        batch = text = data = None
         yield list(langs.values())
 
 
@@ -125,16 +127,19 @@ def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iter
     yield 1, members, counts[ok]
     # The number of the kept phrase that begins at each place, or 0.
     at = np.concatenate([np.zeros(1, np.int32), np.where(ok, np.cumsum(ok), 0).astype(np.int32)])[numbers]
+    del numbers
     for length in range(2, LONGEST + 1):
         if not len(members) or len(at) < 2:
             return
         first, last = at[:-1], at[1:]
         both = (first != 0) & (last != 0)
-        lots = 1 + np.count_nonzero(both) // at_once
+        # First parts from one number to the next have about ``at_once`` places.
+        before = np.cumsum(np.bincount(first[both], minlength=len(members) + 1))
+        lots = np.unique(np.searchsorted(before, np.arange(at_once, before[-1], at_once), side="right"))
         following = np.zeros(len(first), np.int32)
         longer, done = [np.zeros((0, length), np.int32)], 0
-        for lot in range(lots):
-            places = np.flatnonzero(both & (first % lots == lot) if lots > 1 else both)
+        for begin, end in zip([0, *lots], [*lots, len(members) + 1]):
+            places = np.flatnonzero(both & (first >= begin) & (first < end))
             key = first[places].astype(np.int64) * (len(members) + 1) + last[places]
             key, which, counts = np.unique(key, return_inverse=True, return_counts=True)
             head, tail = np.divmod(key, len(members) + 1)
@@ -166,8 +171,8 @@ def _mine(totals: dict[str, int], support: int, limit: int):
                     continue
                 least = -(-support * lang.bytes // totals[lang.lang])
                 least_of.append((lang.lang, least - 1))
-                numbers, hashes = lang.taken()
-                for _, members, counts in levels(numbers, len(lang.words), lambda m, n: n >= least):
+                hashes = lang.hashes()
+                for _, members, counts in levels(lang.taken(), len(lang.words), lambda m, n: n >= least):
                     found.append(bits(members, hashes))
                     beyond.append(np.minimum(counts - least + 1, MOST))
             if not found:
@@ -225,7 +230,8 @@ def _count(union, limit: int):
 
         for langs in shards(batches, limit):
             for lang in langs:
-                numbers, hashes = lang.taken()
+                hashes = lang.hashes()
+                numbers = lang.taken()
                 # The number of all words.
                 yield from rows(lang.lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
 
@@ -233,7 +239,9 @@ def _count(union, limit: int):
                     bit = bits(members, hashes)
                     return (marked[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
 
-                for size, members, counts in levels(numbers, len(lang.words), candidate):
+                found = levels(numbers, len(lang.words), candidate)
+                del numbers
+                for size, members, counts in found:
                     texts = map(b" ".join, zip(*[map(lang.words.__getitem__, c.tolist()) for c in members.T]))
                     yield from rows(lang.lang, size, list(texts), counts)
 
