@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from tests.check_oracles import compare, connect
 from tests.llm.cases import frame, odd_rows, random_text
 from wordlode.llm import chars, dom, langid, quality, rules, sitetree, toxic
-from wordlode.llm.sample import held_out, labelled_sample
+from wordlode.llm.sample import excerpt, held_out, in_order, labelled_sample
 
 SF = "/root/testdata/sf0.001"
 BIG = "/root/testdata/sf0.01"
@@ -65,19 +66,64 @@ def test_sample_is_bounded_and_never_held_out(spark):
                                  "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(3, None), (None, 1), (5, 0)],
                                    "doc_id long, label int")
-    got = labelled_sample(docs, labels, [], 50, 30)
+    got = in_order(labelled_sample(docs, labels, [], 50))
     assert (got["label"].value_counts() <= 50).all() and got["doc_id"].is_unique
     assert all(remainder(d) != 2 for d in got["doc_id"])
-    assert got["text"].str.len().between(1, 30).all()
-    again = labelled_sample(docs, labels, [], 50, 30)
+    assert got["text"].str.len().between(1, 40).all() and got["text"].str.len().max() == 40
+    again = in_order(labelled_sample(docs, labels, [], 50))
     assert got.equals(again)
     flags = docs.select("doc_id", held_out(docs["doc_id"]).alias("h")).collect()
     assert all(r["h"] == (r["doc_id"] is not None and remainder(r["doc_id"]) == 2) for r in flags)
 
 
+def test_excerpt_covers_long_texts(spark):
+    texts = ["", "short", "a" * 80, "".join(chr(97 + i % 26) for i in range(10_000))]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in rows.select(excerpt(F.col("text"), 80)).collect()]
+    assert got[:3] == texts[:3]
+    parts = got[3].split("\n")
+    assert [len(p) for p in parts] == [10] * 8 and all(p in texts[3] for p in parts)
+    assert parts[0] == texts[3][:10] and parts[-1] == texts[3][-10:]
+
+
 # Classifiers
 
 
+def test_long_texts_are_learned_from(spark):
+    """All labelled texts are long: models exist, scores differ, no text with letters is unknown."""
+    rows = []
+    for i in range(80):
+        words = "the cat sat on a mat and then it slept" if i % 2 else "der hund und das kind sind nicht zu haus"
+        text = f"{words} {'idiot### fool%%%' if i % 2 else 'fine day'} " * 700
+        rows.append((i, text, "en" if i % 2 else "de", "s", len(text)))
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, label int")
+    learn = docs.select("doc_id", "text", docs["n_chars"].alias("recorded"))
+    for scored in (quality.score(docs, quality.train(learn, labels)), toxic.score(docs, toxic.train(docs, labels))):
+        got = {r["row"]["doc_id"]: r["result"] for r in scored.collect()}
+        assert all((got[i] > 0.5) == (i % 2 == 1) for i in range(80))
+    found = langid.predict(docs, langid.train(docs)).collect()
+    assert all(r["result"]["lang_pred"] == r["row"]["lang"] for r in found)
+
+
+def test_one_class_of_labels(spark):
+    docs = frame(spark, odd_rows())
+    learn = docs.select("doc_id", "text", docs["n_chars"].alias("recorded"))
+    for only in (0, 1):
+        labels = spark.createDataFrame([(i, only) for i in range(20)], "doc_id long, label int")
+        for scored in (quality.score(docs, quality.train(learn, labels)), toxic.score(docs, toxic.train(docs, labels))):
+            assert {r["result"] for r in scored.collect()} == {float(only)}
+
+
+def test_classifiers_take_empty_tables(spark):
+    docs = frame(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, label int")
+    learn = docs.select("doc_id", "text", docs["n_chars"].alias("recorded"))
+    assert quality.score(docs, quality.train(learn, labels)).count() == 0
+    assert toxic.score(docs, toxic.train(docs, labels)).count() == 0
+    assert langid.predict(docs, langid.train(docs)).count() == 0
+
+
 def test_language_held_out(spark):
     got = {r["doc_id"]: r for r in queries()["op8_language_id"](spark, BIG).collect()}
     truth = dict(spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "lang").collect())
@@ -122,10 +168,9 @@ def test_classifiers_take_odd_rows(spark):
 
 def test_classifiers_without_labels(spark):
     docs, none = frame(spark, odd_rows()), spark.createDataFrame([], "doc_id long, label int")
-    assert toxic.train(docs, none) is None
-    assert {r["result"] for r in toxic.score(docs, None).collect()} == {0.0}
-    assert quality.train(docs.select("doc_id", "text", docs["n_chars"].alias("recorded")), none) is None
-    assert {r["result"] for r in quality.score(docs, None).collect()} == {0.0}
+    assert {r["result"] for r in toxic.score(docs, toxic.train(docs, none)).collect()} == {0.0}
+    learn = docs.select("doc_id", "text", docs["n_chars"].alias("recorded"))
+    assert {r["result"] for r in quality.score(docs, quality.train(learn, none)).collect()} == {0.5}
     no_lang = docs.where("false").select("doc_id", "text", "lang")
     assert langid.train(no_lang) is None
     assert {r["result"]["lang_pred"] for r in langid.predict(docs, None).collect()} == {"und"}
@@ -252,6 +297,18 @@ def test_blocks_of_a_page(html, want):
     ("<article>the main text is here</article><article>card</article><p>by</p>", "the main text is here"),
     ("<article>这是一个很长的正文</article><p>one two three</p>", "这是一个很长的正文"),
     ("<p>the main text</p><div class='nav-menu'>x</div><div id=sidebar>y</div>", "the main text"),
+    # What readers wrote stays out, whatever holds it and however long it is.
+    ("<article>the text</article><section class='comments'><article>nice one</article></section>", "the text"),
+    ("<div class=post>the text</div><section id='comments'><p>a much longer thread of what readers said</p></section>",
+     "the text"),
+    ("<main><p>the text</p><section id='comments'><p>a much longer thread of what readers said</p></section></main>",
+     "the text"),
+    ("<article>the text<div id='disqus_thread'><article>a much longer reply to it all</article></div></article>", "the text"),
+    ("<p>the main text</p><div class='comments-area'>x</div><div id=main-menu>y</div>", "the main text"),
+    ("<div class=site-header>a</div><div class='page-header'>b</div><p>the main text</p>", "the main text"),
+    ("<article><div class=header><h1>T</h1></div>text</article>", "T text"),
+    # Without other text it is the page.
+    ("<div id=comments><p>all there is</p></div>", "all there is"),
 ])
 def test_marks_do_not_take_the_main_text(html, want):
     assert " ".join(b.text for b in dom.content(dom.read(html)[0])) == want

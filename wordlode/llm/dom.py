@@ -46,6 +46,17 @@ MARKS = set(
     "recommended comment comments commentlist reply replies respond disqus form search login pagination pager "
     "toolbar widget skip".split()
 )
+# Words that say where or what part, and mean nothing by themselves: comments-area, main-menu.
+FRAME = set(
+    "area section list wrap wrapper container box block bar panel inner outer main site page top bottom left right "
+    "primary secondary global mobile user post thread".split()
+)
+# Marks that no inner article and no size outweighs as long as there is other text.
+FIRM = set(
+    "comment comments commentlist reply replies respond disqus nav navbar navigation menu cookie cookies consent gdpr".split()
+)
+# Content by themselves (an article may have them), none with a word of FRAME: site-header.
+ENDS = {"header", "footer"}
 _WORDS = re.compile(r"[a-z]+")
 # Words of a text for its size; each sign of Chinese or Japanese is one.
 _SIZE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|\w+")
@@ -81,16 +92,23 @@ def _size(text: str) -> int:
     return len(_SIZE.findall(text))
 
 
-def _is_marked(names: str) -> bool:
-    """Whether a whole name is made of marks: cookie-notice is, with-sidebar is not."""
-    return any(not MARKS.isdisjoint(w := _WORDS.findall(name)) and MARKS.issuperset(w) for name in names.split())
+def _marked(names: str) -> tuple[bool, bool]:
+    """Whether a whole name is made of marks, and whether it is firm: cookie-notice is both, with-sidebar neither."""
+    marked = firm = False
+    for name in names.split():
+        words = set(_WORDS.findall(name))
+        marks = words & MARKS
+        if words <= MARKS | FRAME and marks or words <= ENDS | FRAME and words & ENDS and words & FRAME:
+            marked, firm = True, firm or not marks.isdisjoint(FIRM)
+    return marked, firm
 
 
-def _lifted(raw: list[tuple], inside: list[bool], holds: set[int]) -> set[int]:
+def _lifted(raw: list[tuple], inside: list[bool], firm: list[bool], holds: set[int]) -> set[int]:
     """Marked elements that count as content all the same.
 
     One that holds an article, and one that holds most of the text; outside articles
-    the latter only if no article has text.
+    the latter only if no article has text. Firm ones, and what is in them, only if there
+    is no other text.
     """
     if not inside:
         return set()
@@ -98,12 +116,15 @@ def _lifted(raw: list[tuple], inside: list[bool], holds: set[int]) -> set[int]:
     clean = any(a and not marks and not text.isspace() for p, a in open_parts for text, marks in p)
     if clean and not any(inside):
         return holds
+    parts = [(text, marks) for p, _ in open_parts for text, marks in p]
+    loose = [(text, marks) for text, marks in parts if not any(firm[m] for m in marks)]
+    if any(text and not text.isspace() for text, _ in loose):
+        parts = loose
     sizes, total = Counter(), 0
-    for parts, _ in open_parts:
-        for text, marks in parts:
-            size = _size(text)
-            total += size
-            sizes.update(dict.fromkeys(marks, size))
+    for text, marks in parts:
+        size = _size(text)
+        total += size
+        sizes.update(dict.fromkeys(marks, size))
     return holds | {m for m, size in sizes.items() if 2 * size > total and (inside[m] or not clean)}
 
 
@@ -118,8 +139,9 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
     root = Element("", "", 0, False, False, False, (), ())
     stack, raw, styles = [root], [], []
     run: list[tuple[str, tuple[int, ...]]] = []
-    # Of each marked element whether it is inside an article; those that hold one; number of articles.
+    # Of each marked element whether it is inside an article, and firm; those that hold an article; number of articles.
     inside: list[bool] = []
+    firm: list[bool] = []
     holds: set[int] = set()
     articles_met = 0
 
@@ -186,12 +208,16 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
             or (name == "header" and not parent.articles)
         )
         around, articles = parent.marks, parent.articles
-        if name not in ("html", "body", "main") and _is_marked(marks):
+        marked, is_firm = _marked(marks) if name not in ("html", "body", "main") else (False, False)
+        if marked:
             around += (len(inside),)
             inside.append(bool(articles))
-        elif name in ("article", "main") and not drop:
+            firm.append(is_firm)
+        # What a reader wrote may stand in an article of its own.
+        begins = name in ("article", "main") and not drop and not any(firm[m] for m in around)
+        if begins and not marked:
             holds.update(m for m in around if not inside[m])
-        if name in ("article", "main") and not drop:
+        if begins:
             articles += (articles_met,)
             articles_met += 1
         label = name if inline else _DIGITS.sub("0", f"{name}.{marks.strip()}")
@@ -213,7 +239,7 @@ def read(page: str | None) -> tuple[list[Block], list[tuple[int, int]]]:
             stack.append(element)
     pop_to(1)
     flush()
-    lifted, blocks = _lifted(raw, inside, holds), []
+    lifted, blocks = _lifted(raw, inside, firm, holds), []
     for parts, paths, *kind in raw:
         text = " ".join("".join(t for t, marks in parts if lifted.issuperset(marks)).split())
         if text:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from wordlode.llm import chars
 from wordlode.llm.rows import pieces, with_result
-from wordlode.llm.sample import labelled_sample, remainder
+from wordlode.llm.sample import in_order, labelled_sample, remainder
 from wordlode.session import spread
 
 SIZES = (1, 2, 3)
@@ -143,28 +143,43 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def train(docs: DataFrame, sample_rows: int = 3000, max_chars: int = 20_000) -> Model | None:
+FEATURES = "doc_id long, label string, buckets array<long>, counts array<double>"
+MAX_LANGS = 10_000
+
+
+def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """n-grams of whole texts, counted where the texts are; each has ``1 << BITS`` buckets at most."""
+    for frame in frames:
+        found = [_counts(t) for t in frame["text"]]
+        yield pd.DataFrame({
+            "doc_id": frame["doc_id"], "label": frame["label"], "buckets": [a for a, _ in found], "counts": [c for _, c in found],
+        })
+
+
+def train(docs: DataFrame, sample_rows: int = 3000) -> Model | None:
     """Learns from ``docs`` (doc_id, text, lang); None if there is nothing to learn from.
 
-    The weights see at most ``sample_rows`` texts of at most ``max_chars`` characters,
-    shared out evenly among the languages; a fifth of them is kept for the temperature.
+    The weights see at most ``sample_rows`` whole texts, shared out evenly among the
+    languages; a fifth of them is kept for the temperature.
     """
     known = docs.where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & (remainder(F.col("doc_id")) != 2)
     )
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    languages = sorted(r["lang"] for r in known.select("lang").distinct().limit(MAX_LANGS + 1).collect())
+    if len(languages) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
     if not languages:
         return None
     frequency, total = document_frequency(known.select("text"))
     idf = np.log((1 + total) / (1 + frequency)) + 0.1
-    sample = labelled_sample(
+    taken = labelled_sample(
         known.select("doc_id", "text"), known.select("doc_id", F.col("lang").alias("label")), [],
-        -(-sample_rows // len(languages)), max_chars,
+        -(-sample_rows // len(languages)),
     )
+    sample = in_order(taken.select("doc_id", "label", "text").mapInPandas(_featured, FEATURES))
     dims, examples, labels = (1 << BITS) + 1, [], []
     place = {lang: i for i, lang in enumerate(languages)}
-    for text, lang in zip(sample["text"], sample["label"]):
-        at, count = _counts(text)
+    for at, count, lang in zip(sample["buckets"].map(np.asarray), sample["counts"].map(np.asarray), sample["label"]):
         if len(at):
             x = count / count.sum() * idf[at] * SCALE
             examples.append((np.append(at, dims - 1), np.append(x, 1.0)))

@@ -8,8 +8,8 @@ structure statistic and of the recorded number of characters. The score is
 so all pairwise interactions cost one pass over the non-zero entries.
 
 Defined cases: NULL and empty texts have the statistics of an empty text and no words;
-a NULL or missing number of characters is a bucket of its own; without labels of both
-classes every score is 0; rows repeated score alike.
+a NULL or missing number of characters is a bucket of its own; with labels of one class only
+every score is 1 or 0 as they say, and one half without any label; rows repeated score alike.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordlode.llm import chars
 from wordlode.llm.rows import pieces, with_result
-from wordlode.llm.sample import class_shares, labelled_sample
+from wordlode.llm.sample import class_shares, in_order, labelled_sample
 
 WORD_BITS = 14
 WORDS = 1 << WORD_BITS
@@ -143,21 +143,37 @@ def _batches(texts: list[str], recorded: np.ndarray):
         yield a, b, features(texts[a:b], recorded[a:b])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000) -> Model | None:
-    """Learns from at most ``per_class`` texts of each label, none above ``max_chars``.
+FEATURES = "doc_id long, label long, statistics array<double>, words array<long>"
+
+
+def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Features of whole texts, found where the texts are: what reaches the driver does not grow with their length."""
+    for frame in frames:
+        for a, b, (statistics, word_text, bucket) in _batches(
+            frame["text"].tolist(), frame["recorded"].to_numpy(dtype=float, na_value=np.nan)
+        ):
+            at = np.searchsorted(word_text, np.arange(b - a + 1))
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"].iloc[a:b], "label": frame["label"].iloc[a:b], "statistics": list(statistics),
+                "words": [bucket[x:y] for x, y in zip(at, at[1:])],
+            })
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500) -> Model | float:
+    """Learns from at most ``per_class`` whole texts of each label.
 
     ``docs`` has doc_id, text and recorded (characters), ``labels`` doc_id and label.
-    In the loss the labels weigh as much as they do among all rows.
+    In the loss the labels weigh as much as they do among all rows. Without both labels, the
+    score of every text.
     """
-    sample = labelled_sample(docs, labels, ["recorded"], per_class, max_chars)
+    taken = labelled_sample(docs, labels, ["recorded"], per_class)
+    sample = in_order(taken.select("doc_id", "label", "text", "recorded").mapInPandas(_featured, FEATURES))
     y = sample["label"].to_numpy(float) if len(sample) else np.zeros(0)
     if len(set(y.tolist())) < 2:
-        return None
-    texts, recorded = sample["text"].tolist(), sample["recorded"].to_numpy(float)
-    parts = list(_batches(texts, recorded))
-    statistics = np.concatenate([f[0] for _, _, f in parts])
-    word_text = np.concatenate([f[1] + a for a, _, f in parts])
-    bucket = np.concatenate([f[2] for _, _, f in parts])
+        return float(y[0]) if len(y) else 0.5
+    statistics = np.stack(sample["statistics"].to_numpy()).astype(float)
+    bucket = np.concatenate(sample["words"].to_numpy()).astype(np.int64)
+    word_text = np.repeat(np.arange(len(y)), [len(w) for w in sample["words"]])
     levels = np.linspace(0, 1, BINS + 1)[1:-1]
     cuts = np.stack([
         np.quantile(c[~np.isnan(c)], levels) if (~np.isnan(c)).any() else np.zeros(BINS - 1)
@@ -170,17 +186,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars:
     return Model(cuts, w0, w.astype(np.float32), v.astype(np.float32))
 
 
-def score(docs: DataFrame, model: Model | None, text: str = "text", recorded: str = "n_chars") -> DataFrame:
+def score(docs: DataFrame, model: Model | float, text: str = "text", recorded: str = "n_chars") -> DataFrame:
     """``row`` and ``result``: how likely each whole text is of good quality, from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        m: Model | None = shared.value
+        m: Model | float = shared.value
         for batch, lengths in batches:
             texts = [t or "" for t in batch]
             known = lengths.to_numpy(dtype=float, na_value=np.nan)
-            out = np.zeros(len(texts))
-            if m is not None:
+            out = np.full(len(texts), m if isinstance(m, float) else 0.0)
+            if isinstance(m, Model):
                 for a, b, found in _batches(texts, known):
                     entries = _entries(*found, m.cuts)
                     margin, _ = _margins(b - a, *entries, m.w0, m.w, m.v)

@@ -18,9 +18,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(remainder(doc_id) == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_class: int,
-                    max_chars: int) -> pd.DataFrame:
-    """At most ``per_class`` documents of each label, none longer than ``max_chars``.
+def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_class: int) -> DataFrame:
+    """At most ``per_class`` documents of each label, of any length: doc_id, label, text and ``columns``.
 
     ``docs`` has doc_id, text and ``columns``; ``labels`` has doc_id and label. Rows are
     taken in the order of a hash of their id, so the sample is the same in every
@@ -31,7 +30,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_
         labels.where(F.col("label").isNotNull() & (remainder(F.col("doc_id")) != 2))
         .groupBy("doc_id").agg(F.min("label").alias("label"))
     )
-    usable = docs.where(F.length("text").between(1, max_chars))
+    usable = docs.where(F.length("text") > 0)
     order = Window.partitionBy("label").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
     # Ids first: the texts of the few rows taken are read again, not shuffled. A share of
     # the hashes that holds the sample many times over keeps the window small.
@@ -44,10 +43,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_
         .select("doc_id", "label")
     )
     taken = usable.select("doc_id", "text", *columns).join(F.broadcast(chosen), "doc_id")
-    return (
-        taken.dropDuplicates(["doc_id"]).toPandas()
-        .sort_values("doc_id", kind="stable").reset_index(drop=True)
-    )
+    return taken.dropDuplicates(["doc_id"])
+
+
+def excerpt(text: Column, size: int, windows: int = 8) -> Column:
+    """The whole text up to ``size`` characters; of a longer one, ``windows`` stretches at equal distances, one a line."""
+    part = size // windows
+    stretches = [
+        F.substr(text, (F.lit(i) * (F.length(text) - part) / (windows - 1)).cast("int") + 1, F.lit(part))
+        for i in range(windows)
+    ]
+    return F.when(F.length(text) <= size, text).otherwise(F.concat_ws("\n", *stretches))
+
+
+def in_order(sample: DataFrame) -> pd.DataFrame:
+    """The rows of a bounded sample by id."""
+    return sample.toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
 def class_shares(labels: DataFrame) -> dict:

@@ -47,6 +47,8 @@ from wordlode.session import cut_lineage, spread
 GAMMA = 0.9
 LEAST = 0.2
 LEAST_PAGES = 8
+# Tasks that the pages of a host may be spread over.
+SALTS = 16
 _PAGES, _STYLE, _TEXT, _ABOVE = range(4)
 
 
@@ -135,8 +137,17 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
 
     pages = spread(pages)
     cut = unimportant(pages, html, url)
-    rows = annotate(pages, F.xxhash64(host(F.col(f"`{url}`")))).withColumnRenamed("result", "at")
-    has_host = host(F.col(f"row.`{url}`")).isNotNull()
-    joined = rows.join(cut, has_host & (F.col("at") == F.col("host")), "left")
+    # A host's pages meet its cuts in many tasks; pages without a host meet none, wherever they are.
+    name = host(F.col(f"`{url}`"))
+    any_place = F.xxhash64(F.lit("page"), F.col(f"`{url}`"), F.col(f"`{html}`"))
+    rows = annotate(pages, F.struct(
+        F.coalesce(F.when(name.isNotNull(), F.xxhash64(name)), any_place).alias("at"),
+        F.pmod(any_place, F.lit(SALTS)).cast("int").alias("salt"), name.isNotNull().alias("has_host"),
+    ))
+    salted = cut.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = rows.join(
+        salted,
+        F.col("result.has_host") & (F.col("result.at") == F.col("host")) & (F.col("result.salt") == F.col("salt")), "left",
+    )
     udf = F.pandas_udf(read, "string").asNondeterministic()
     return joined.select("row", udf(F.col(f"row.`{html}`"), F.col("cut")).alias("result"))

@@ -13,7 +13,8 @@ As everything up to the worst window is linear, an n-gram counts by one number,
 embedding times the difference of the softmax weights.
 
 Defined cases: NULL, empty and word-less texts get the score of a document without any
-evidence; without labels of both classes every score is 0.
+evidence; with labels of one class only every score is 1 or 0 as they say, and 0 without any
+label. A sampled text above ``max_chars`` characters is learned from by eight stretches of it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wordlode.llm import chars
 from wordlode.llm.rows import pieces, with_result
-from wordlode.llm.sample import class_shares, labelled_sample
+from wordlode.llm.sample import class_shares, excerpt, in_order, labelled_sample
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -127,17 +128,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_chars: int = 8000,
-          rounds: int = 3, steps: int = 20) -> Model | None:
-    """Learns from at most ``per_class`` texts of each label, none above ``max_chars``.
+          rounds: int = 3, steps: int = 20) -> Model | float:
+    """Learns from at most ``per_class`` texts of each label, of longer ones from ``max_chars`` characters.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and label (1 is toxic). A fourth of
     the sample is kept aside to turn margins into probabilities, with the labels
-    in the shares that they have among all rows.
+    in the shares that they have among all rows. Without both labels, the score of every text.
     """
-    sample = labelled_sample(docs, labels, [], per_class, max_chars)
+    taken = labelled_sample(docs, labels, [], per_class)
+    sample = in_order(taken.withColumn("text", excerpt(F.col("text"), max_chars)))
     y = sample["label"].to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
     if len(set(y.tolist())) < 2:
-        return None
+        return float(y[0]) if len(y) else 0.0
     texts = sample["text"].tolist()
     aside = np.arange(len(texts)) % 4 == 3
     learn = np.flatnonzero(~aside)
@@ -184,16 +186,16 @@ def _train_windows(texts, y, rounds, steps):
     return embed, used, soft
 
 
-def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model | float, text: str = "text") -> DataFrame:
     """``row`` and ``result``: how likely each whole text is toxic, from 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m: Model | None = shared.value
+        m: Model | float = shared.value
         for batch in batches:
             texts = [t or "" for t in batch]
-            out = np.zeros(len(texts))
-            if m is not None:
+            out = np.full(len(texts), m if isinstance(m, float) else 0.0)
+            if isinstance(m, Model):
                 for a, b in pieces([len(t) for t in texts]):
                     worst = _worst(texts[a:b], m.effect, m.bias)
                     worst = np.where(np.isfinite(worst), worst, m.bias)
