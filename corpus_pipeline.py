@@ -11,9 +11,11 @@ from wordlode.session import cut_lineage
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects (score below 0.7) go."""
+    """Documents that the classifier rejects (score below 0.7) go; without labels of both classes all stay."""
     labels = table(spark, sf_dir, "labels", "doc_id", F.col("quality").alias("label"))
     model = quality.train(docs.select("doc_id", "text", F.col("n_chars").alias("recorded")), labels)
+    if not isinstance(model, quality.Model):
+        return docs
     return quality.score(docs, model).where("result >= 0.7").select("row.*")
 
 
