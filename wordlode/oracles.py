@@ -498,6 +498,32 @@ FROM cluster c LEFT JOIN v ON c.word = v.word AND label <> 3 WHERE score >= 0.3"
     + "SELECT word, 16 AS n_dims, false AS broken FROM f WHERE freq >= 5",
     "seed_vectors": _with(VOCAB, DOMAIN, _freq("f", "domain"))
     + "SELECT word, 16 AS n_dims, false AS broken FROM f SEMI JOIN vocab ON key = word WHERE freq >= 5",
+    "information_cells": _with(
+        DOMAIN, _freq("f", "domain"),
+        f"""tok AS MATERIALIZED (SELECT doc_id, unnest(t) AS word, generate_subscripts(t, 1) AS pos
+  FROM (SELECT doc_id, {_words('text')} AS t FROM domain)),
+good AS (SELECT word FROM f WHERE freq >= 5),
+near AS (SELECT x.word AS a, y.word AS b FROM tok x JOIN tok y
+  ON x.doc_id = y.doc_id AND y.pos - x.pos BETWEEN 1 AND 5
+  WHERE x.word IN (SELECT word FROM good) AND y.word IN (SELECT word FROM good)),
+cells AS MATERIALIZED (SELECT a, b, count(*) AS n
+  FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near) GROUP BY a, b),
+margin AS (SELECT a AS word, sum(n)::BIGINT AS n FROM cells GROUP BY a),
+valued AS (SELECT c.a, c.b, c.n, ln(c.n * (SELECT sum(n) FROM cells)::DOUBLE / (x.n * y.n::DOUBLE)) AS value
+  FROM cells c JOIN margin x ON x.word = c.a JOIN margin y ON y.word = c.b)""",
+    ) + "SELECT a, b, n, round(value, 6) AS value FROM valued WHERE value > 0",
+    "text_vectors": _with(
+        f"""tok AS MATERIALIZED (SELECT doc_id, word, count(*) AS n
+  FROM (SELECT doc_id, unnest({_words('text')}) AS word FROM documents) GROUP BY doc_id, word),
+freq AS (SELECT word, sum(n) AS n FROM tok GROUP BY word),
+known AS (SELECT word, 0.001 / (0.001 + n / (SELECT sum(n) FROM freq)::DOUBLE) AS weight,
+    {_draw('word')} % (SELECT count(*) FROM embeddings) AS place FROM freq),
+parts AS (SELECT doc_id, n * weight AS share, unnest(embedding::DOUBLE[]) AS x,
+    generate_subscripts(embedding, 1)::INTEGER - 1 AS dim
+  FROM tok JOIN known USING (word) JOIN embeddings ON vec_id = place)""",
+    ) + """SELECT doc_id, dim::INTEGER AS dim, round(sum(share * x) / sum(share), 6) AS x
+FROM parts GROUP BY doc_id, dim""",
+    "index_recall": "SELECT (10 * count(*))::BIGINT AS expected, true AS enough FROM embeddings",
     "mined_terms": _with(
         STOP, VOCAB, GAZ, DOMAIN, BACKGROUND,
         _clean_sentences("domain", "ds", "dt"), _clean_sentences("background", "bs", "bt"),

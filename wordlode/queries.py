@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordlode.functions import text as T
 from wordlode.functions.rows import explode_rows
-from wordlode.operators import counts, discover, expand, graph, match, terms, textrank, vectors, walks
+from wordlode.operators import (
+    cells, classify, counts, discover, expand, factor, graph, match, terms, textrank, vectors, walks,
+)
 from wordlode.plans.mine import (
     MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
 )
@@ -390,6 +392,16 @@ def centroid_shift(spark, sf):
     )
 
 
+def index_recall(spark, sf):
+    """How many of the ten exact neighbours of each vector lie in the cells looked into."""
+    v = cut_lineage(vector_table(spark, sf))
+    index = cells.build_index(v, cells=16)
+    found = cells.nearest_in_cells(index, v, 10, probes=12)
+    return cells.recall(found, vectors.nearest(v, v, 10)).select(
+        "expected", (F.col("recall") >= 0.9).alias("enough")
+    )
+
+
 EXPANSION = dict(min_sim=0.3, plain_floor=0.3)
 # Few neighbours and low floors: words are reached over several levels.
 DEEP = dict(min_sim=0.02, plain_floor=0.02, alpha=0.05, k=4)
@@ -450,18 +462,10 @@ def exclude_prefix(spark, sf):
     return match.exclude_prefixes(candidates(spark, sf), vocabulary(spark, sf))
 
 
-# Trained vectors, the whole job
+# Trained vectors, classes of texts
 
-_vectors: dict = {}
-
-
-def _trained(spark, sf):
-    """Word vectors of the domain; trained once for a session and its tables."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _vectors:
-        tokens = cut_lineage(domain(spark, sf).select(tokens_of().alias("tokens")))
-        _vectors[key] = cut_lineage(vectors.train_vectors(tokens, "tokens", 16, 5, 5))
-    return _vectors[key]
+def _domain_tokens(spark, sf):
+    return cut_lineage(domain(spark, sf).select(tokens_of().alias("tokens")))
 
 
 def _described(df):
@@ -472,12 +476,50 @@ def _described(df):
 
 
 def word_vectors(spark, sf):
-    return _described(_trained(spark, sf))
+    return _described(vectors.train_vectors(_domain_tokens(spark, sf), "tokens", 16, 5, 5))
 
 
 def seed_vectors(spark, sf):
-    return _described(vectors.seeds_with_vectors(vocabulary(spark, sf), _trained(spark, sf)))
+    trained = cut_lineage(vectors.train_vectors(_domain_tokens(spark, sf), "tokens", 16, 5, 5))
+    return _described(vectors.seeds_with_vectors(vocabulary(spark, sf), trained))
+
+
+def information_cells(spark, sf):
+    found = factor.information_cells(_domain_tokens(spark, sf), "tokens", window=5, min_count=5)
+    return found.select("a", "b", "n", rounded("value"))
+
+
+def factor_vectors(spark, sf):
+    return factor.factor_vectors(_domain_tokens(spark, sf), "tokens", 16, window=5, min_count=5)
+
+
+def text_vectors(spark, sf):
+    """Texts by the fixed table of vectors, which words take theirs from by a hash."""
+    numbered = cut_lineage(vector_table(spark, sf).select(F.col("word").cast("long").alias("place"), "vector"))
+    words = candidates(spark, sf).withColumn("place", F.pmod(walks.draw(F.col("word")), F.lit(numbered.count())))
+    known = words.join(numbered, "place").select("word", "vector")
+    docs = documents(spark, sf).select("doc_id", tokens_of().alias("tokens"))
+    found = classify.text_vectors(docs, "tokens", known, classify.rare_weights(docs, "tokens"))
+    return explode_rows(found, F.col("vector"), "x", "doc_id", pos="dim").select("doc_id", "dim", F.round("x", 6).alias("x"))
+
+
+def is_held_out(doc_id="doc_id"):
+    """A fourth of the documents, by a hash of their id."""
+    return F.pmod(walks.draw(F.col(doc_id)), F.lit(4)) == 0
+
+
+def text_classes(spark, sf):
+    """Documents classed as domain or not by vectors of their words, learned from three fourths of the labels."""
+    tokens = cut_lineage(documents(spark, sf).select("doc_id", tokens_of().alias("tokens")))
+    known = cut_lineage(factor.factor_vectors(tokens, "tokens", 32, window=5, min_count=5, tolerance=1e-3))
+    found = classify.text_vectors(tokens, "tokens", known, classify.rare_weights(tokens, "tokens"))
+    rows = cut_lineage(found.drop("tokens"))
+    labels = table(spark, sf, "labels").where(~is_held_out()).select("doc_id", F.col("quality").alias("label"))
+    model = classify.train(rows.join(labels, "doc_id"), "vector", "label")
+    return classify.predict(rows, model).select("doc_id", is_held_out().alias("held_out"), "predicted", "margin")
+
 
+# The whole job
 
 MINING = MiningConfig(profile=LATIN, vector_size=16, min_sim=0.6, lower=True)
 
@@ -534,7 +576,8 @@ QUERIES = {
         keyword_contrast, random_walks, term_ids,
         vector_topk, centroid_shift, expand_scored, expand_deep, expand_fixpoint,
         expand_members, final_score, exclude_known,
-        exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, mined_terms, mined_screen,
+        exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, information_cells, factor_vectors,
+        text_vectors, text_classes, index_recall, mined_terms, mined_screen,
         mined_vocabulary,
     )
 }
