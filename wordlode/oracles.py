@@ -301,6 +301,85 @@ steps AS (
   WHERE n = 1)"""
 
 
+def _probable():
+    """Most probable words of each kind of run, by tables of arcs; then the states of stretches that are no words."""
+    follows = {"b": "me", "m": "me", "e": "bs", "s": "bs"}
+
+    def way(state):
+        ways = [f"{{'s': round(sc.{p} + t.{p}{state}, 9), 'o': {3 - 'bmes'.index(p)}, 'p': '{p}'}}" for p in "bmes" if state in follows[p]]
+        return f"list_max([{', '.join(ways)}])"
+
+    states = ", ".join(f"{way(s)} AS w_{s}" for s in "bmes")
+    moved = ", ".join(f"round(w_{s}.s + e.{s}, 9) AS {s}" for s in "bmes")
+    emitted = ", ".join(
+        f"round(ln((coalesce(sum(n) FILTER (state = '{s}'), 0) + 0.5) / any_value(k.{s} + 0.5 * (k.alphabet + 1))), 9) AS {s}"
+        for s in "bmes"
+    )
+    unknown = ", ".join(f"round(ln(0.5 / (k.{s} + 0.5 * (k.alphabet + 1))), 9) AS {s}" for s in "bmes")
+    return f"""counted AS MATERIALIZED (SELECT key AS word, count(*) AS n, length(key) AS size FROM (
+  SELECT unnest({_words('text')}) AS key FROM benchmark UNION ALL SELECT unnest({_words('p_name')}) FROM part) GROUP BY key),
+whole AS MATERIALIZED (SELECT sum(n)::DOUBLE AS total FROM counted),
+dict AS MATERIALIZED (SELECT word AS key, round(ln(n / total), 9) AS weight FROM counted, whole),
+runs AS MATERIALIZED (SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest({_words('text')}) AS run FROM documents) GROUP BY doc_id, run),
+kinds AS MATERIALIZED (SELECT DISTINCT run FROM runs),
+inside AS MATERIALIZED ({_inside('kinds', 'run', 'dict')}),
+ends AS (SELECT word AS run, pos + len - 1 AS stop, len, weight, true AS known FROM inside JOIN dict ON term = key
+  UNION ALL
+  SELECT run, i, 1, (SELECT round(ln(0.5 / total), 9) FROM whole), false
+  FROM (SELECT run, unnest(range(1, length(run) + 1)) AS i FROM kinds) WHERE substring(run, i, 1) NOT IN (SELECT key FROM dict)),
+arcs AS MATERIALIZED (SELECT run, stop, list({{'len': len, 'weight': weight, 'known': known}}) AS arcs FROM ends GROUP BY run, stop),
+path AS (
+  SELECT run, 0 AS stop, [0.0::DOUBLE] AS best, []::STRUCT(s DOUBLE, len BIGINT, known BOOLEAN)[] AS taken FROM kinds
+  UNION ALL
+  SELECT run, stop, list_append(best, way.s), list_append(taken, way) FROM (
+    SELECT p.run, p.stop + 1 AS stop, best, taken, list_max(list_transform(a.arcs,
+      lambda x: {{'s': round(best[p.stop + 2 - x.len] + x.weight, 9), 'len': x.len, 'known': x.known}})) AS way
+    FROM path p JOIN arcs a ON a.run = p.run AND a.stop = p.stop + 1)),
+back AS (
+  SELECT run, length(run) AS stop, taken, NULL::BIGINT AS pos, NULL::BIGINT AS len, NULL::BOOLEAN AS known
+  FROM path WHERE stop = length(run)
+  UNION ALL
+  SELECT run, stop - taken[stop].len, taken, stop - taken[stop].len + 1, taken[stop].len, taken[stop].known
+  FROM back WHERE stop > 0),
+cut AS MATERIALIZED (SELECT run, pos, len, known, substring(run, pos, len) AS piece FROM back WHERE pos IS NOT NULL),
+loose AS (SELECT run, string_agg(piece, '' ORDER BY pos) AS stretch FROM (
+    SELECT *, pos - row_number() OVER (PARTITION BY run ORDER BY pos) AS island FROM cut WHERE NOT known)
+  GROUP BY run, island),
+stretches AS MATERIALIZED (SELECT DISTINCT stretch FROM loose),
+placed AS MATERIALIZED (SELECT CASE WHEN size = 1 THEN 's' WHEN i = 1 THEN 'b' WHEN i = size THEN 'e' ELSE 'm' END AS state,
+    substring(word, i, 1) AS ch, n FROM (SELECT *, unnest(range(1, size + 1)) AS i FROM counted)),
+kind AS MATERIALIZED (SELECT coalesce(sum(n) FILTER (state = 'b'), 0) AS b, coalesce(sum(n) FILTER (state = 'm'), 0) AS m,
+    coalesce(sum(n) FILTER (state = 'e'), 0) AS e, coalesce(sum(n) FILTER (state = 's'), 0) AS s,
+    count(DISTINCT ch) AS alphabet, (SELECT coalesce(sum(n), 0) FROM counted WHERE size = 2) AS two FROM placed),
+turns AS MATERIALIZED (SELECT round(ln((b + 1) / (b + s + 2)), 9) AS eb, round(ln((s + 1) / (b + s + 2)), 9) AS es,
+    eb AS sb, es AS ss, round(ln((b - two + 1) / (b + 2)), 9) AS bm, round(ln((two + 1) / (b + 2)), 9) AS be,
+    round(ln((m - (b - two) + 1) / (m + 2)), 9) AS mm, round(ln((b - two + 1) / (m + 2)), 9) AS me FROM kind),
+seen AS MATERIALIZED (SELECT ch, {emitted} FROM placed, kind k GROUP BY ch),
+unseen AS MATERIALIZED (SELECT {unknown} FROM kind k),
+letters AS MATERIALIZED (SELECT x.ch, coalesce(seen.b, u.b) AS b, coalesce(seen.m, u.m) AS m, coalesce(seen.e, u.e) AS e, coalesce(seen.s, u.s) AS s
+  FROM (SELECT DISTINCT unnest(string_split(stretch, '')) AS ch FROM stretches) x LEFT JOIN seen ON seen.ch = x.ch, unseen u),
+states AS (
+  SELECT stretch, 1 AS i, round(t.eb + e.b, 9) AS b, -1e300::DOUBLE AS m, -1e300::DOUBLE AS e, round(t.es + e.s, 9) AS s,
+    []::STRUCT(b VARCHAR, m VARCHAR, e VARCHAR, s VARCHAR)[] AS origin
+  FROM stretches JOIN letters e ON e.ch = substring(stretch, 1, 1), turns t
+  UNION ALL
+  SELECT stretch, i, {moved}, list_append(origin, {{'b': w_b.p, 'm': w_m.p, 'e': w_e.p, 's': w_s.p}}) FROM (
+    SELECT sc.stretch, sc.i + 1 AS i, origin, substring(sc.stretch, sc.i + 1, 1) AS next_ch, {states}
+    FROM states sc, turns t WHERE sc.i < length(sc.stretch)) JOIN letters e ON e.ch = next_ch),
+route AS (
+  SELECT stretch, length(stretch) AS i, origin, CASE WHEN e >= s THEN 'e' ELSE 's' END AS state
+  FROM states WHERE i = length(stretch)
+  UNION ALL
+  SELECT stretch, i - 1, origin, CASE state WHEN 'b' THEN origin[i - 1].b WHEN 'm' THEN origin[i - 1].m
+    WHEN 'e' THEN origin[i - 1].e ELSE origin[i - 1].s END
+  FROM route WHERE i > 1),
+bounds AS (SELECT stretch, i, state, sum((state IN ('e', 's'))::INTEGER) OVER (PARTITION BY stretch ORDER BY i) - (state IN ('e', 's'))::INTEGER AS w
+  FROM route),
+parts AS (SELECT stretch, string_agg(substring(stretch, i, 1), '' ORDER BY i) AS token FROM bounds GROUP BY stretch, w),
+tokens AS (SELECT run, piece AS token FROM cut WHERE known UNION ALL SELECT run, token FROM loose JOIN parts USING (stretch))"""
+
+
 def _list(values):
     return "'" + values.replace("'", "''") + "'"
 
@@ -369,6 +448,8 @@ pieces AS (SELECT w.run, substring(w.run, w.pos, s.len) AS token
   FROM walk w JOIN step s ON w.run = s.run AND w.pos = s.pos)""",
         recursive=True,
     ) + """SELECT doc_id, token, sum(n)::BIGINT AS n FROM runs JOIN pieces USING (run) GROUP BY doc_id, token""",
+    "probable_segment": _with(_probable(), recursive=True)
+    + "SELECT doc_id, token, sum(n)::BIGINT AS n FROM runs JOIN tokens USING (run) GROUP BY doc_id, token",
     "word_freq": _with(_freq("f", "documents")) + "SELECT word, freq FROM f",
     "term_counts": _with(
         _sentences("conversations", "conv_id, turn"), _sentence_words("conv_id, turn")

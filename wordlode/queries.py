@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wordlode.functions import text as T
 from wordlode.functions.rows import explode_rows
 from wordlode.operators import (
-    cells, classify, counts, discover, expand, factor, graph, match, terms, textrank, vectors, walks,
+    cells, classify, counts, discover, expand, factor, graph, match, probable, terms, textrank, vectors, walks,
 )
 from wordlode.plans.mine import (
     MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
@@ -178,6 +178,16 @@ def dictionary_segment(spark, sf):
     return explode_rows(cut, F.col("tokens"), "token", "doc_id").groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
+def probable_segment(spark, sf):
+    """Words of documents cut into dictionary words by their frequency in the benchmark and part names."""
+    words = explode_rows(table(spark, sf, "benchmark", "text"), tokens_of(), "key").union(
+        explode_rows(table(spark, sf, "part", "p_name"), tokens_of("p_name"), "key")
+    )
+    known = words.groupBy("key").agg(F.count("*").alias("n"))
+    cut = probable.segment_probable(documents(spark, sf), ["doc_id"], F.lower("text"), known, LATIN.separator)
+    return explode_rows(cut, F.col("tokens"), "token", "doc_id").groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+
+
 # Counts and statistics
 
 def word_freq(spark, sf):
@@ -569,7 +579,7 @@ QUERIES = {
     for f in (
         scan_project, partition_scan, decode_text, seed_match_filter, term_matches, clean_chain,
         lexical_rules, charset_filter, sentence_split, tokenize, stop_word_filter, token_views,
-        dictionary_segment, word_freq, term_counts, pair_pmi, new_words, aligned_vocabulary,
+        dictionary_segment, probable_segment, word_freq, term_counts, pair_pmi, new_words, aligned_vocabulary,
         scaled_background, smoothed_ratio_zero, smoothed_ratio_null, specific_words,
         keyword_budget, phrase_count, window_pairs, cooccur_graph, pagerank_corpus, pagerank_doc,
         doc_keywords, keyphrases, sentence_similarity, sentence_partners, sentence_rank,
