@@ -76,12 +76,14 @@ def sentence_similarity(a: Column, b: Column) -> Column:
     return shared_over_length(F.size(F.array_intersect(a, b)), F.size(a), F.size(b))
 
 
-def in_charset(word: Column, charset: str = GB2312, forbidden: str = r"[~!@#$%^&* ]") -> Column:
-    """No forbidden character, and every character encodable in the charset.
+def in_charset(word: Column, charset: str | None = GB2312, forbidden: str = r"[~!@#$%^&* ]") -> Column:
+    """No forbidden character, and every character encodable in the charset, if there is one.
 
     The charset becomes a constant array of marks by code point, so a character
     is looked up in one step.
     """
+    if charset is None:
+        return ~word.rlike(forbidden)
     members = set(charset)
     marks = "".join("1" if chr(c) in members else "0" for c in range(0x10000))
     by_code_point = F.split(F.lit(marks), "")

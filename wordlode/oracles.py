@@ -547,6 +547,17 @@ sim AS (SELECT s.doc_id, s.sent_id, partner, c / (ln(a.n) + ln(b.n)) AS similari
     ) + """SELECT doc_id, sent_id, rank::INTEGER AS rank, partner, round(similarity, 6) AS similarity
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id
     ORDER BY round(similarity, 9) DESC, partner) AS rank FROM sim) WHERE rank <= 3""",
+    "sentence_pairs": _with(
+        _sentences(), f"""bag AS (SELECT doc_id, sent_id, {_words('sentence')} AS w FROM sent),
+class AS MATERIALIZED (SELECT doc_id, min(sent_id) AS a, count(*) AS copies, len(w) AS n, list_sort(list_distinct(w)) AS words
+  FROM bag WHERE len(w) > 0 GROUP BY doc_id, len(w), list_sort(list_distinct(w))),
+post AS MATERIALIZED (SELECT doc_id, a, n, copies, unnest(words) AS word FROM class),
+shared AS (SELECT x.doc_id, x.a, y.a AS b, any_value(x.copies) AS copies_a, any_value(y.copies) AS copies_b,
+    count(*)::INTEGER AS shared, any_value(x.n) AS n, any_value(y.n) AS m
+  FROM post x JOIN post y ON x.doc_id = y.doc_id AND x.word = y.word AND (x.a < y.a OR x.a = y.a AND x.copies > 1)
+  GROUP BY x.doc_id, x.a, y.a)""",
+    ) + """SELECT doc_id, a, b, copies_a, copies_b, shared, round(shared / (ln(n) + ln(m)), 6) AS similarity FROM shared
+WHERE n * m > 1 AND round(shared / (ln(n) + ln(m)), 9) >= 1.2""",
     "keyword_contrast": _with(
         STOP, DOMAIN, BACKGROUND,
         _sentences("domain", name="ds"), _sentence_words(sent="ds", name="dt"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from wordlode.functions.text import WordRule as R
+from wordlode.functions.text import GB2312, WordRule as R
 
 # Sentence delimiters, cleaning patterns and word rules for Chinese.
 
@@ -121,11 +121,12 @@ class Profile:
     joiner: str  # between the words of a phrase
     cleaning: tuple
     word_rules: tuple
+    charset: str | None = None  # characters that mined words may hold; any if None
 
 
 CHINESE = Profile(
     "zh", ZH_SENTENCE_DELIMITERS, "[^一-龥0-9a-zA-Z]+", False, "",
-    tuple((p, " ") for p in ZH_CLEANING), tuple(ZH_WORD_RULES),
+    tuple((p, " ") for p in ZH_CLEANING), tuple(ZH_WORD_RULES), GB2312,
 )
 LATIN = Profile(
     "latin", ZH_SENTENCE_DELIMITERS + ".", r"[^\p{L}]+", True, " ",

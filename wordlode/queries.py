@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wordlode.functions import text as T
 from wordlode.functions.rows import explode_rows
 from wordlode.operators import (
-    cells, classify, counts, discover, expand, factor, graph, match, probable, terms, textrank, vectors, walks,
+    cells, classify, counts, discover, expand, factor, graph, match, pairs as similar, probable, terms, textrank, vectors, walks,
 )
 from wordlode.plans.mine import (
     MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
@@ -346,6 +346,13 @@ def sentence_partners(spark, sf):
     )
 
 
+def sentence_pairs(spark, sf):
+    """Sentences of a document with a similarity of 1.2 or more, equal ones as one."""
+    rows = sentence_rows(documents(spark, sf), "doc_id").select("doc_id", "sent_id", tokens_of("sentence").alias("tokens"))
+    found = similar.similar_pairs(rows, "tokens", "sent_id", 1.2, ("doc_id",))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 def keyword_contrast(spark, sf):
     stop = stop_words(spark, sf)
     texts = []
@@ -583,7 +590,7 @@ QUERIES = {
         scaled_background, smoothed_ratio_zero, smoothed_ratio_null, specific_words,
         keyword_budget, phrase_count, window_pairs, cooccur_graph, pagerank_corpus, pagerank_doc,
         doc_keywords, keyphrases, sentence_similarity, sentence_partners, sentence_rank,
-        keyword_contrast, random_walks, term_ids,
+        sentence_pairs, keyword_contrast, random_walks, term_ids,
         vector_topk, centroid_shift, expand_scored, expand_deep, expand_fixpoint,
         expand_members, final_score, exclude_known,
         exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, information_cells, factor_vectors,
