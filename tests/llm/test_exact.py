@@ -386,3 +386,24 @@ def test_ties_go_to_the_longest_piece():
     # All ways over "▁ab" cost 2; the one piece that ends last and starts first wins.
     assert counter.count("ab") == 1
     assert counter.count("é") == 3
+
+
+def test_previous_factors_equal_brute_force():
+    rnd = random.Random(7)
+    for n in (1, 2, 3, 5, 8, 17, 64, 100, 257):
+        for letters in (1, 2, 4):
+            text = [rnd.randrange(letters) for _ in range(n)]
+            order = sorted(range(n), key=lambda i: text[i:])
+
+            def shared(i, j):
+                k = 0
+                while max(i, j) + k < n and text[i + k] == text[j + k]:
+                    k += 1
+                return k
+
+            common = np.array([0] + [shared(i, j) for i, j in zip(order, order[1:])], np.int32)
+            got = suffix.previous_factors(np.array(order, np.int32), common)
+            want = [max((shared(i, j) for j in range(i)), default=0) for i in order]
+            assert got.tolist() == want
+    # Suffixes at one place are not earlier than each other.
+    assert suffix.previous_factors(np.array([1, 1, 0], np.int32), np.array([0, 9, 5], np.int32)).tolist() == [5, 5, 0]

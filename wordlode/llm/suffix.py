@@ -1,10 +1,10 @@
-"""Exact substring dedup: the smallest place of each group of equal strings that can repeat.
+"""Exact substring dedup by longest previous factors.
 
 A byte goes if a string of ``size`` bytes over it also starts earlier (in a document
-with a smaller id, or earlier in the same one). In the order of all suffixes, cut at
-``size`` bytes, equal strings lie side by side; all but the earliest of such a run have a
-longest previous factor of ``size`` or more. Only that is asked, so no array of
-factors and no previous or next smaller positions are computed.
+with a smaller id, or earlier in the same one): if its longest previous factor has
+``size`` bytes or more. In suffix order the longest earlier match of a suffix is with the
+nearest one before or behind it that starts earlier, so previous and next smaller
+positions, and the least that neighbours share up to them, give all factors.
 
 One suffix array over all bytes would be a shuffle of many times the corpus. Three
 steps leave little to sort, and drop nothing:
@@ -16,7 +16,7 @@ steps leave little to sort, and drop nothing:
 2. Equal contexts. All but the earliest of them are covered at once. Each task settles
    its own copies before the shuffle, so a text copied a million times is a few rows.
 3. Different contexts of one anchor. Only their earliest copies are left; their bytes are
-   fetched, and their suffixes sorted anchor by anchor. An anchor with more than ``MANY``
+   fetched, their suffixes sorted anchor by anchor, and their factors found. An anchor with more than ``MANY``
    contexts is not sorted in one task: its strings are compared through their hashes by
    a grouped minimum.
 
@@ -301,29 +301,66 @@ def _suffixes(frame: pd.DataFrame, size: int):
     return which, frame["first"].to_numpy(np.int64)[which] + shift, np.ascontiguousarray(strings)
 
 
+def _one_side(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What each suffix shares with the nearest one before it in suffix order that starts earlier.
+
+    ``common`` is what a suffix shares with its neighbour before. All previous smaller positions are
+    found at once: blocks of neighbours that start no earlier are skipped, from the longest block
+    down, and what is shared shrinks to the least within them.
+    """
+    n = len(position)
+    least, shared = [position], [common]
+    while 2 << (len(least) - 1) <= n:
+        half = 1 << (len(least) - 1)
+        least.append(np.minimum(least[-1][:-half], least[-1][half:]))
+        shared.append(np.minimum(shared[-1][:-half], shared[-1][half:]))
+    # All from ``at`` to the suffix itself start no earlier; ``held`` is the least shared between them.
+    at = np.arange(n)
+    held = np.full(n, np.iinfo(common.dtype).max, common.dtype)
+    for k in range(len(least) - 1, -1, -1):
+        width = 1 << k
+        # A block may have to be skipped twice where the longest is not a power of two.
+        for _ in range(2 if k == len(least) - 1 else 1):
+            skip = np.flatnonzero(at >= width)
+            skip = skip[least[k][at[skip] - width] >= position[skip]]
+            to = at[skip] - width
+            held[skip] = np.minimum(held[skip], shared[k][to + 1])
+            at[skip] = to
+    return np.where(at > 0, np.minimum(held, common[at]), 0)
+
+
+def previous_factors(position: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The longest previous factor of each suffix, given in suffix order.
+
+    ``position`` is where it starts, ``common`` how much it shares with the suffix before it (0 for the
+    first). A longest earlier match is with the nearest suffix on either side that starts
+    earlier: the factor is the larger of both.
+    """
+    behind = np.append(common[1:], 0).astype(common.dtype)
+    return np.maximum(_one_side(position, common), _one_side(position[::-1], behind[::-1])[::-1])
+
+
 def _factors(frame: pd.DataFrame, size: int) -> pd.DataFrame:
-    """Covered ranges of some contexts, by the order of their suffixes.
+    """Covered ranges of some contexts, by the longest previous factors of their suffixes.
 
-    ``run`` numbers the stretches of neighbours in suffix order that share ``size`` bytes.
-    Every suffix of a stretch but the smallest position is covered: the same ``size``
-    bytes start at that position. No factors are computed.
+    Suffixes are cut at ``size`` bytes, and so are factors: one of ``size`` says that the same bytes
+    start earlier. Rows that share an id are one place in the order.
     """
-    which, position, strings = _suffixes(frame, size)
-    keys = strings.view(f"S{size}").ravel()
-    order = np.argsort(keys, kind="stable")
-    common = np.ones(len(order), bool)
-    common[1:] = (strings[order[1:]] != strings[order[:-1]]).any(axis=1)
-    run = np.cumsum(common) - 1
-    doc = frame["doc"].to_numpy(np.int64)[which[order]]
-    at = position[order]
-    by_place = np.lexsort((at, doc, run))
-    head = np.flatnonzero(np.diff(run[by_place], prepend=-1))
-    least = by_place[head][run]
-    covered = (doc != doc[least]) | (at != at[least])
-    chosen = which[order][covered]
-    tag = frame["tag"].to_numpy(np.int64)
-    start = at[covered]
-    return _spans(doc[covered], tag[chosen], start, start + size)
+    which, start, strings = _suffixes(frame, size)
+    order = np.argsort(strings.view(f"S{size}").ravel(), kind="stable")
+    which, start, strings = which[order], start[order], strings[order]
+    differs = strings[1:] != strings[:-1]
+    common = np.zeros(len(order), np.int32)
+    common[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
+    doc = frame["doc"].to_numpy(np.int64)[which]
+    place = np.lexsort((start, doc))
+    later = np.zeros(len(order), np.int64)
+    later[1:] = (doc[place[1:]] != doc[place[:-1]]) | (start[place[1:]] != start[place[:-1]])
+    position = np.empty(len(order), np.int32)
+    position[place] = np.cumsum(later)
+    repeated = previous_factors(position, common) >= size
+    tag = frame["tag"].to_numpy(np.int64)[which]
+    return _spans(doc[repeated], tag[repeated], start[repeated], start[repeated] + size)
 
 
 def _sorted_groups(size: int):
