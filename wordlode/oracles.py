@@ -380,6 +380,16 @@ parts AS (SELECT stretch, string_agg(substring(stretch, i, 1), '' ORDER BY i) AS
 tokens AS (SELECT run, piece AS token FROM cut WHERE known UNION ALL SELECT run, token FROM loose JOIN parts USING (stretch))"""
 
 
+def _day(date, days):
+    """The special words of a date, counted anew from the texts of its days."""
+    return f"""SELECT '{date}' AS run_date, word, round(score, 6) AS score FROM ({_with(
+        DOMAIN, BACKGROUND, f"picked AS (SELECT * FROM domain WHERE length(text) > 500 AND {days})",
+        _clean_sentences("picked", "ds", "dt"), _clean_sentences("background", "bs", "bt"),
+        _runs("text", "ds", "x_"), _pieces("x_"), _runs("text", "bs", "y_"), _pieces("y_"),
+        _ratio("zero", _aligned("SELECT word, freq FROM x_found", "SELECT word, freq FROM y_found")),
+    )} SELECT word, score FROM ratio WHERE {LATIN_RULES} ORDER BY round(score, 9) DESC, word LIMIT 100)"""
+
+
 def _list(values):
     return "'" + values.replace("'", "''") + "'"
 
@@ -637,6 +647,7 @@ WHERE NOT contains(word, '7') AND NOT EXISTS (SELECT 1 FROM known WHERE contains
   AND NOT EXISTS (SELECT 1 FROM places WHERE contains(word, key))
   AND NOT EXISTS (SELECT 1 FROM known WHERE starts_with(key, word))
 ORDER BY round(special.score, 9) DESC, word LIMIT 100""",
+    "daily_words": _day("20240101", "doc_id % 2 = 0") + " UNION ALL " + _day("20240102", "true"),
     "exclude_known": _with(CANDIDATES, VOCAB)
     + f"SELECT word FROM cand WHERE word NOT IN (SELECT word FROM ({_inside('cand', 'word', 'vocab')}))",
     "exclude_gazetteer": _with(CANDIDATES, GAZ)

@@ -17,6 +17,7 @@ from wordlode.operators import (
 from wordlode.plans.mine import (
     MiningConfig, dictionary, mine_vocabulary, remove_stop_words, screen, sentence_texts,
 )
+from wordlode.plans.daily import add_day, run_day
 from wordlode.profiles import LATIN
 from wordlode.session import bounded_list, cut_lineage, shared_path, spread
 from wordlode.sources.tables import scan, scan_partition, write_partition
@@ -581,6 +582,20 @@ def mined_vocabulary(spark, sf):
     )
 
 
+def daily_words(spark, sf):
+    """The job on two days, the second one run twice: what its result table holds then."""
+    folder = shared_path(spark, "daily")
+    source, state, back, output = (f"{folder}/{name}" for name in ("source", "state", "background", "output"))
+    days = domain(spark, sf).select("doc_id", "text")
+    counted = days.withColumn("match_cnt", F.length("text") / 100)
+    write_partition(counted.where("doc_id % 2 = 0"), source, DAY_BEFORE)
+    write_partition(counted.where("doc_id % 2 = 1"), source, DAY)
+    add_day(background(spark, sf).select("text"), back, DAY_BEFORE, MINING)
+    for day in (DAY_BEFORE, DAY, DAY):
+        run_day(spark, source, state, back, output, MINING, day)
+    return scan(spark, output).select("run_date", "word", rounded("score"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -595,6 +610,6 @@ QUERIES = {
         expand_members, final_score, exclude_known,
         exclude_gazetteer, exclude_prefix, word_vectors, seed_vectors, information_cells, factor_vectors,
         text_vectors, text_classes, index_recall, mined_terms, mined_screen,
-        mined_vocabulary,
+        mined_vocabulary, daily_words,
     )
 }
