@@ -441,6 +441,17 @@ LEFT JOIN (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS tokens
     ) + """SELECT d.doc_id, coalesce(string_agg(every, ' ' ORDER BY sent_id), '') AS no_filter,
   coalesce(string_agg(kept, ' ' ORDER BY sent_id), '') AS no_stop_words,
   coalesce(string_agg(kept, ' ' ORDER BY sent_id), '') AS all_filters
+FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id GROUP BY d.doc_id""",
+    "allowed_views": _with(
+        STOP, STOP.replace("stop AS", "allowed AS", 1).replace("LIMIT 50", "LIMIT 400"), _sentences(), _sentence_words(),
+        """per AS (SELECT sent.doc_id, sent.sent_id,
+    coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (word NOT IN (SELECT txt FROM stop)), '') AS kept,
+    coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (word NOT IN (SELECT txt FROM stop)
+      AND word IN (SELECT txt FROM allowed)), '') AS chosen
+  FROM sent LEFT JOIN stok ON sent.doc_id = stok.doc_id AND sent.sent_id = stok.sent_id
+  GROUP BY sent.doc_id, sent.sent_id)""",
+    ) + """SELECT d.doc_id, coalesce(string_agg(kept, ' ' ORDER BY sent_id), '') AS no_stop_words,
+  coalesce(string_agg(chosen, ' ' ORDER BY sent_id), '') AS all_filters
 FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id GROUP BY d.doc_id""",
     "dictionary_segment": _with(
         VOCAB, GAZ,

@@ -59,14 +59,19 @@ def gazetteer(spark, sf):
     return explode_rows(table(spark, sf, "part", "p_name"), tokens_of("p_name"), "key").distinct()
 
 
-def stop_words(spark, sf):
+def common_words(spark, sf, n):
+    """The words that are in most documents."""
     seen = explode_rows(documents(spark, sf, "text"), F.array_distinct(tokens_of()), "txt")
     return (
         seen.groupBy("txt").agg(F.count("*").alias("n"))
-        .orderBy(F.col("n").desc(), "txt").limit(50).select("txt")
+        .orderBy(F.col("n").desc(), "txt").limit(n).select("txt")
     )
 
 
+def stop_words(spark, sf):
+    return common_words(spark, sf, 50)
+
+
 def stop_list(spark, sf):
     return bounded_list(stop_words(spark, sf), "txt", 50)
 
@@ -171,6 +176,16 @@ def token_views(spark, sf):
     )
 
 
+def allowed_views(spark, sf):
+    """Token views with an allow list: the 400 most widespread words, without the stop words among them."""
+    allowed = bounded_list(common_words(spark, sf, 400), "txt", 400)
+    views = textrank.token_views(F.col("s"), stop_list(spark, sf), allowed)
+    return documents(spark, sf).select("doc_id", sentence_tokens().alias("s")).select(
+        "doc_id",
+        *[F.array_join(F.transform(views[name], joined), " ").alias(name) for name in ("no_stop_words", "all_filters")],
+    )
+
+
 def dictionary_segment(spark, sf):
     terms = vocabulary(spark, sf).union(gazetteer(spark, sf))
     cut = match.segment(
@@ -600,7 +615,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_project, partition_scan, decode_text, seed_match_filter, term_matches, clean_chain,
-        lexical_rules, charset_filter, sentence_split, tokenize, stop_word_filter, token_views,
+        lexical_rules, charset_filter, sentence_split, tokenize, stop_word_filter, token_views, allowed_views,
         dictionary_segment, probable_segment, word_freq, term_counts, pair_pmi, new_words, aligned_vocabulary,
         scaled_background, smoothed_ratio_zero, smoothed_ratio_null, specific_words,
         keyword_budget, phrase_count, window_pairs, cooccur_graph, pagerank_corpus, pagerank_doc,
