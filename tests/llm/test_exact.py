@@ -53,7 +53,7 @@ def brute_components(values, radius):
 
 
 def test_simhash_groups(spark):
-    rows = [r for r in odd_rows() if r[1] is None or len(r[1]) < 50_000]
+    rows = odd_rows()
     got = Counter(tuple(r) for r in simhash.groups(frame(spark, rows)).collect())
     fps = [brute_fingerprint(r[1]) for r in rows]
     root = brute_components(set(fps), 4)
@@ -107,7 +107,7 @@ def test_more_blocks_for_more_fingerprints():
 
 
 def test_representatives_keep_one_row_each(spark):
-    rows = [r for r in odd_rows() if r[1] is None or len(r[1]) < 50_000]
+    rows = odd_rows()
     docs = frame(spark, rows)
     got = simhash.representatives(docs).collect()
     assert simhash.representatives(docs).columns == docs.columns
@@ -332,6 +332,28 @@ def test_pack_nothing(spark):
     assert pack.pack(frame(spark, []), BPE).count() == 0
 
 
+def test_documents_lie_along_the_curve(spark):
+    """The keys of documents never fall along the packed line."""
+    rnd = random.Random(8)
+    topics = [[f"{c}{i}" for i in range(40)] for c in "abc"]
+    rows = [(i, " ".join(rnd.choice(topics[i % 3]) for _ in range(80)), None, None, None) for i in range(90)]
+    docs = frame(spark, rows)
+    keys = {r["doc_id"]: r["key"] for r in pack.tokenized(docs, BPE).select("row.doc_id", "result.key").collect()}
+    pieces = pack.pack(docs, BPE).where("start = 0").orderBy("sequence_id", "offset").collect()
+    along = [keys[r["doc_id"]] for r in pieces]
+    assert len(along) == 90 and along == sorted(along) and len(set(along)) > 80
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, [])
+    items = spark.createDataFrame([("i", "some item text")], "item_id string, text string")
+    assert count.token_counts(docs, PIECES).count() == 0
+    assert simhash.groups(docs).count() == 0 and simhash.representatives(docs).count() == 0
+    assert decontaminate.overlaps(docs, items, size=10).count() == 0
+    assert suffix.remove(docs, size=100).count() == 0
+    assert pack.pack(docs, BPE).count() == 0
+
+
 def test_tail_needs_no_padding():
     full, tail = pack.edges(3 * 1024 + 1 + 4 + 256, 1024)
     assert (full, tail) == (3, [3072, 3328, 3332])
