@@ -46,7 +46,9 @@ BLOCK = 1 << 20
 # Contexts of one anchor that one task may sort.
 MANY = 5_000
 # Suffixes sorted at once.
-SORTED = 1 << 18
+SORTED = 1 << 17
+# Neighbours compared at once.
+COMPARED = 1 << 14
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
@@ -348,10 +350,13 @@ def _factors(frame: pd.DataFrame, size: int) -> pd.DataFrame:
     """
     which, start, strings = _suffixes(frame, size)
     order = np.argsort(strings.view(f"S{size}").ravel(), kind="stable")
-    which, start, strings = which[order], start[order], strings[order]
-    differs = strings[1:] != strings[:-1]
-    common = np.zeros(len(order), np.int32)
-    common[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
+    common = np.zeros(len(order), np.uint8)
+    for a in range(1, len(order), COMPARED):
+        b = min(a + COMPARED, len(order))
+        differs = strings[order[a:b]] != strings[order[a - 1 : b - 1]]
+        common[a:b] = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
+    del strings
+    which, start = which[order], start[order]
     doc = frame["doc"].to_numpy(np.int64)[which]
     place = np.lexsort((start, doc))
     later = np.zeros(len(order), np.int64)
