@@ -523,7 +523,7 @@ def information_cells(spark, sf):
 
 
 def factor_vectors(spark, sf):
-    return factor.factor_vectors(_domain_tokens(spark, sf), "tokens", 16, window=5, min_count=5)
+    return factor.factor_vectors(_domain_tokens(spark, sf), "tokens", 16, window=5, min_count=5, tolerance=1e-4)
 
 
 def text_vectors(spark, sf):
