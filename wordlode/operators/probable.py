@@ -19,12 +19,11 @@ without counts of a kind its chances are even.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wordlode.functions.rows import STRINGS, sliced
 from wordlode.operators.match import SHARD_CHARS, Dictionary
 from wordlode.session import cut_lineage
 
@@ -179,13 +178,11 @@ def segment_probable(
     unknown = log(0.5 / (total or 1))
     held = df.sparkSession.sparkContext.broadcast(chances(counted))  # a few numbers for each character
 
-    @F.pandas_udf("array<string>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            # Runs of all texts of the batch, so that each automaton is met once.
-            runs = [run for text in texts for run in text]
-            arcs = iter(_arcs(dictionary, runs))
-            yield pd.Series([[t for run in text for t in _cut(run, next(arcs), unknown, held.value)] for text in texts])
+    def cut(texts):
+        # Runs of all texts of the slice, so that each automaton is met once.
+        arcs = iter(_arcs(dictionary, [run for text in texts for run in text]))
+        return [[t for run in text for t in _cut(run, next(arcs), unknown, held.value)] for text in texts]
 
     runs = F.split(F.coalesce(text, F.lit("")), separator)
-    return df.select(*keys, cut.asNondeterministic()(runs).alias("tokens"))
+    tokens = sliced(cut, "array<string>", STRINGS, dictionary.slice_bytes())(runs)
+    return df.select(*keys, tokens.alias("tokens"))
