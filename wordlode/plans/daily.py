@@ -33,7 +33,10 @@ def counted_until(spark: SparkSession, state: str, date: str) -> DataFrame:
 
 def special_words(domain: DataFrame, background: DataFrame, config: MiningConfig = MiningConfig()) -> DataFrame:
     """word, score: the ``top`` words of counted domain runs against those of the background."""
-    found = [words_of_runs(runs, config.min_proba, config.min_pmi) for runs in (domain, background)]
+    # The ratio reads both several times.
+    found = [
+        cut_lineage(words_of_runs(runs, config.min_proba, config.min_pmi)) for runs in (domain, background)
+    ]
     scored = smoothed_ratio(*found, config.missing).where(acceptable(F.col("word"), config.profile.word_rules))
     return (
         scored.orderBy(F.round("score", 9).desc_nulls_last(), "word").limit(config.top).select("word", "score")
