@@ -13,8 +13,10 @@ import pytest
 import xxhash
 
 from tests.llm.cases import frame, odd_rows, random_text
-from wordlode.llm import count, decontaminate, pack, simhash, suffix
+from wordlode.llm import components as components_of
+from wordlode.llm import count, decontaminate, pack, sample, simhash, suffix
 from wordlode.llm.components import components
+from wordlode.session import cut_lineage
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -126,6 +128,30 @@ def test_components_of_a_long_chain(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_small_tables_of_many_partitions_are_few_files(spark, monkeypatch):
+    """Each part of a small table would be a task to read and a file to write, round by round."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.shuffle.partitions", "40")
+    apart.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files = []
+
+    def counted(df):
+        written = cut_lineage(df)
+        files.append(len(written.inputFiles()))
+        return written
+
+    for module in (components_of, simhash, sample):
+        monkeypatch.setattr(module, "cut_lineage", counted)
+    pairs = apart.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r["root"] for r in components(pairs, 300).collect()} == {0}
+    rows = [(i, random_text(random.Random(i), 30)) for i in range(200)]
+    docs = apart.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.representatives(docs).count() == len({t for _, t in rows})
+    labels = apart.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, label int")
+    assert sample.labelled_sample(docs, labels, [], 500).count() > 100
+    assert len(files) > 8 and max(files) <= apart.sparkContext.defaultParallelism
+
+
 # Decontamination
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wordlode.session import cut_lineage
+from wordlode.session import cut_lineage, gathered
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,23 +21,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("m").alias("a"), "b")).where("a <> b").distinct()
 
 
-def components(pairs: DataFrame) -> DataFrame:
+def components(pairs: DataFrame, rows: int | None = None) -> DataFrame:
     """node, root: the smallest node of each node's component, for all nodes in a pair.
 
     Rounds go on until the edges rest, whatever their number; each round is a
-    written table. Pairs of a node with itself and NULLs are ignored.
+    written table. Pairs of a node with itself and NULLs are ignored. ``rows`` says about how many
+    pairs there are at most, if that is known.
     """
-    edges = cut_lineage(
+    edges = (
         pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .where("a <> b").distinct()
     )
+    edges = cut_lineage(edges if rows is None else gathered(edges, rows))
     state = None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now == state or not now["n"]:
             break
         state = now
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        # A round never has more edges than the one before.
+        edges = cut_lineage(gathered(_small_star(_large_star(edges)), now["n"]))
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
     )

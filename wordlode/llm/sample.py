@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wordlode.session import cut_lineage
+from wordlode.session import cut_lineage, gathered
 
 
 def remainder(doc_id: Column) -> Column:
@@ -34,7 +34,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], per_
     order = Window.partitionBy("label").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), "doc_id")
     # Ids first: the texts of the few rows taken are read again, not shuffled. A share of
     # the hashes that holds the sample many times over keeps the window small.
-    known = cut_lineage(learned.join(usable.select("doc_id").distinct(), "doc_id"))
+    known = cut_lineage(gathered(learned.join(usable.select("doc_id").distinct(), "doc_id"), labels.count()))
     sizes = known.groupBy("label").agg(F.count("*").alias("size"))
     near = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("size") < F.lit((1 << 20) * 8 * (per_class + 25))
     chosen = cut_lineage(

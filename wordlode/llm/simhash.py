@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wordlode.llm.components import components
 from wordlode.llm.rows import with_result
-from wordlode.session import cut_lineage
+from wordlode.session import cut_lineage, gathered
 
 # Rows in one part of a shard.
 SHARD = 50_000
@@ -235,8 +235,9 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int
         fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle)
         .select("row.doc_id", F.xxhash64("row.text").alias("text_hash"), F.col("result").alias("fp"))
     )
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = components(links(distinct.select("fp"), radius))
+    distinct = cut_lineage(gathered(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), rows.count()))
+    n = distinct.count()
+    linked = components(links(distinct.select("fp"), radius), n * len(_blocks(n, radius)))
     named = linked.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "first")
     named = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root")
     label = distinct.join(named.select("fp", "root", "component"), "fp", "left").select(
@@ -276,6 +277,6 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
     once = Window.partitionBy("d", "h").orderBy(F.lit(0))
     return (
-        rows.join(cut_lineage(first), same, "left_semi")
+        rows.join(cut_lineage(gathered(first, docs.count())), same, "left_semi")
         .withColumn("n", F.row_number().over(once)).where("n = 1").select("row.*")
     )
