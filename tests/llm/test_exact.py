@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -96,6 +97,29 @@ def test_tight_cluster_needs_few_links():
     assert set(simhash._stars(shard.links, len(values)).tolist()) == {0}
 
 
+def test_many_small_shards_cost_no_more_than_their_pairs(monkeypatch):
+    """The trees of many shards are built together, whatever the shards and wherever a batch ends."""
+    rnd = np.random.default_rng(6)
+    fp = rnd.integers(-(1 << 62), 1 << 62, 6000)
+    fp = np.concatenate([fp, fp[:900] ^ (1 << rnd.integers(12, 62, 900)), fp[:300]])
+    rows = pd.DataFrame({"fp": fp, "which": 0, "key": fp & 1023, "pair": 0}).sort_values("key", ignore_index=True)
+    steps = []
+    search = simhash._Forest._join
+    monkeypatch.setattr(simhash._Forest, "_join", lambda *a: steps.append(1) or search(*a))
+    groups = []
+    for together, visits in ((simhash.TOGETHER, simhash.VISITS), (700, 50)):
+        monkeypatch.setattr(simhash, "TOGETHER", together)
+        monkeypatch.setattr(simhash, "VISITS", visits)
+        found = pd.concat(simhash._links(4)(rows.iloc[i : i + 500] for i in range(0, len(rows), 500)))
+        groups.append(sorted(map(tuple, found.to_numpy().tolist())))
+    assert len(steps) < 20 and groups[0] == groups[1]
+    want = []
+    for _, some in rows.groupby("key"):
+        root = brute_components({int(v) & (1 << 64) - 1 for v in some["fp"].tolist()}, 4)
+        want += [tuple(int(np.uint64(x).view(np.int64)) for x in (r, v)) for v, r in root.items() if v != r]
+    assert groups[0] == sorted(want) and len(want) > 800
+
+
 def test_more_blocks_for_more_fingerprints():
     few, many = simhash._blocks(1000, 4), simhash._blocks(10**9, 4)
     assert len(few) == 5 and len(many) > 5

@@ -39,7 +39,10 @@ from wordlode.session import cut_lineage, gathered
 # Rows in one part of a shard.
 SHARD = 50_000
 # Fingerprints that an average shard may hold before the blocks are made longer.
-PER_SHARD = 512
+PER_SHARD = 2048
+# Rows of whole shards whose trees are built together, and visits of nodes made at a time.
+TOGETHER = 1 << 17
+VISITS = 1 << 16
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -87,114 +90,177 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-class _Shard:
-    """Links between the fingerprints of one shard, by a BK-tree joined with itself."""
+class _Forest:
+    """Links between the fingerprints of each of many shards, by BK-trees joined with themselves.
+
+    ``values`` are different within a shard, and the rows of a shard, numbered by ``shard`` from 0, follow
+    each other. All trees are built and searched together, a level or some thousand visits at a time, so
+    many small shards cost no more than a few large ones.
+    """
+
+    def __init__(self, values: np.ndarray, shard: np.ndarray, radius: int):
+        self.values, self.radius, self.found = values, radius, [np.zeros((0, 2), np.int64)]
+        self._join(*self._build(shard))
+
+    @property
+    def links(self) -> np.ndarray:
+        return np.concatenate(self.found)
+
+    def _link(self, a: np.ndarray, b: np.ndarray) -> None:
+        if len(a):
+            self.found.append(np.column_stack([a, b]))
+
+    def _far(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.values[a] ^ self.values[b]).astype(np.int64)
+
+    def _build(self, node: np.ndarray):
+        """Builds all trees level by level and links what lies near a root; returns node, distance and row below it."""
+        rows, below, nears, children = np.arange(len(node)), [], [], []
+        self.roots, n = [], 0
+        while len(rows):
+            first = np.diff(node, prepend=-1) != 0
+            starts = np.flatnonzero(first)
+            self.roots.append(rows[starts])
+            root = np.repeat(rows[starts], np.diff(np.append(starts, len(rows))))[~first]
+            rows, node = rows[~first], node[~first]
+            far = self._far(rows, root)
+            close = far <= self.radius
+            self._link(root[close], rows[close])
+            below.append((node, far, rows))
+            # A node and a distance in one number; nodes are numbered level by level, so all these ascend.
+            key = node << 7 | far
+            order = np.argsort(key, kind="stable")
+            key, rows, close = key[order], rows[order], close[order]
+            nears.append((key[close], rows[close]))
+            key, rows = key[~close], rows[~close]
+            n += len(starts)
+            child = np.diff(key, prepend=-1) != 0
+            children.append(key[child])
+            node = n + np.cumsum(child) - 1
+        self.roots = np.concatenate(self.roots) if self.roots else rows
+        self.first_child = len(self.roots) - sum(map(len, children))
+        self.children = np.concatenate([np.zeros(0, np.int64), *children])
+        self.near, self.near_rows = (np.concatenate(c) for c in zip((np.zeros(0, np.int64),) * 2, *nears))
+        return (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*below) if below else ((), (), ())))
+
+    def _join(self, node: np.ndarray, far: np.ndarray, rows: np.ndarray) -> None:
+        """Searches the rows below a node in the trees of its farther children, edge by edge within the radius.
+
+        Rows near the root are linked through it; only pairs with a far child remain.
+        """
+        r, todo = self.radius, []
+
+        def ask(node, least, most, asked):
+            lo = np.searchsorted(self.children, node << 7 | np.maximum(least, r + 1))
+            n = np.searchsorted(self.children, (node << 7 | most) + 1) - lo
+            some = n > 0
+            todo.append((lo[some], n[some], asked[some]))
+
+        ask(node, far + 1, far + r, rows)
+        while todo:
+            lo, n, asked = todo.pop()
+            stop = max(1, int(np.searchsorted(np.cumsum(n[:VISITS]), VISITS, "right")))
+            if stop < len(n):
+                todo.append((lo[stop:], n[stop:], asked[stop:]))
+            lo, n, asked = lo[:stop], n[:stop], asked[:stop]
+            if not len(n):
+                continue
+            node, asked = self.first_child + _ranges(lo, n), np.repeat(asked, n)
+            far = self._far(asked, self.roots[node])
+            linked = far <= r
+            self._link(self.roots[node[linked]], asked[linked])
+            ask(node, far - r, far + r, asked)
+            # A near child has no tree: it is linked to the root, so one link is enough.
+            other = np.flatnonzero(~linked & (far <= 2 * r))
+            lo = np.searchsorted(self.near, node[other] << 7 | (far[other] - r))
+            n = np.searchsorted(self.near, (node[other] << 7 | r) + 1) - lo
+            self._one_link(lo[n > 0], n[n > 0], asked[other[n > 0]])
+
+    def _one_link(self, lo: np.ndarray, n: np.ndarray, asked: np.ndarray) -> None:
+        """Links each row asked to the first close one of its ``n`` near rows from ``lo``, more of them at a time."""
+        width = 1
+        while len(lo):
+            size = np.minimum(n, width)
+            for a in range(0, len(lo), max(1, VISITS // width)):
+                b = a + max(1, VISITS // width)
+                which = np.repeat(np.arange(a, min(b, len(lo))), size[a:b])
+                member = self.near_rows[_ranges(lo[a:b], size[a:b])]
+                close = np.flatnonzero(self._far(member, asked[which]) <= self.radius)
+                which, at = np.unique(which[close], return_index=True)
+                self._link(member[close[at]], asked[which])
+                n[which] = 0
+            left = n > size
+            lo, n, asked = (lo + size)[left], (n - size)[left], asked[left]
+            width = min(2 * width, VISITS)
+
+
+class _Shard(_Forest):
+    """Links between the fingerprints of one shard."""
 
     def __init__(self, values: np.ndarray, radius: int):
-        self.values, self.radius, self.links = values, radius, []
-        self._tree(np.arange(len(values)))
+        super().__init__(values, np.zeros(len(values), np.int64), radius)
 
-    def _link(self, a: int, others: np.ndarray) -> None:
-        self.links += [(a, b) for b in others.tolist()]
 
-    def _tree(self, rows: np.ndarray) -> dict:
-        """Builds the tree of ``rows`` and links them; returns it for later searches."""
-        tree: dict = {}
-        todo = [(rows, tree)]
-        while todo:
-            rows, node = todo.pop()
-            root, rest = int(rows[0]), rows[1:]
-            far = np.bitwise_count(self.values[rest] ^ self.values[root])
-            node["root"], node["edges"] = root, {}
-            self._link(root, rest[far <= self.radius])
-            for d in np.unique(far).tolist():
-                node["edges"][d] = (rest[far == d], {})
-            for d, (members, child) in node["edges"].items():
-                if d > self.radius:
-                    todo.append((members, child))
-            # Children near the root are linked through it; only pairs with a far child remain.
-            far_edges = sorted(d for d in node["edges"] if d > self.radius)
-            node["pending"] = [
-                (e, d) for d in far_edges for e in node["edges"] if d - self.radius <= e < d
-            ]
-        self._cross(tree)
-        return tree
-
-    def _cross(self, tree: dict) -> None:
-        """Searches sibling subtrees, edge by edge within the radius."""
-        todo = [tree]
-        while todo:
-            node = todo.pop()
-            for e, d in node["pending"]:
-                self._search(node["edges"][d][1], node["edges"][e][0])
-            todo += [c for d, (_, c) in node["edges"].items() if c]
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
 
-    def _search(self, tree: dict, queries: np.ndarray) -> None:
-        todo = [(tree, queries)]
-        while todo:
-            node, asked = todo.pop()
-            far = np.bitwise_count(self.values[asked] ^ self.values[node["root"]]).astype(np.int16)
-            linked = far <= self.radius
-            self._link(node["root"], asked[linked])
-            for d, (members, child) in node["edges"].items():
-                band = np.abs(far - d) <= self.radius
-                if child:
-                    if band.any():
-                        todo.append((child, asked[band]))
-                    continue
-                # A near child has no tree: it is linked to the root, so one link is enough.
-                near = asked[band & ~linked]
-                for m in members.tolist():
-                    if not len(near):
-                        break
-                    close = np.bitwise_count(self.values[near] ^ self.values[m]) <= self.radius
-                    self._link(m, near[close])
-                    near = near[~close]
-
-
-def _stars(links: list[tuple[int, int]], n: int) -> np.ndarray:
+
+def _stars(links: np.ndarray, n: int) -> np.ndarray:
     """The smallest index of each index's group."""
     root = np.arange(n)
-    for a, b in links:
-        while root[a] != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        while root[b] != b:
-            root[b] = root[root[b]]
-            b = root[b]
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    for i in range(n):
-        root[i] = root[root[i]]
+    a, b = np.asarray(links, np.int64).reshape(-1, 2).T
+    while len(a):
+        a, b = root[a], root[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (jumped := root[root] != root).any():
+            root[jumped] = root[root[jumped]]
     return root
 
 
 def _links(radius: int):
     """Pairs (a, b) that connect the members of each shard of a sorted partition."""
-    def solve(keys: pd.DataFrame) -> pd.DataFrame:
-        values = np.unique(keys["fp"].to_numpy(np.int64).view(np.uint64))
-        root = _stars(_Shard(values, radius).links, len(values))
+    def solve(keys: pd.DataFrame, shard: np.ndarray) -> pd.DataFrame:
+        values = keys["fp"].to_numpy(np.int64).view(np.uint64)
+        order = np.lexsort((values, shard))
+        values, shard = values[order], shard[order]
+        once = np.append(True, (values[1:] != values[:-1]) | (shard[1:] != shard[:-1]))
+        values, shard = values[once], shard[once]
+        root = _stars(_Forest(values, shard, radius).links, len(values))
         moved = np.flatnonzero(root != np.arange(len(values)))
         signed = values.view(np.int64)
         return pd.DataFrame({"a": signed[root[moved]], "b": signed[moved]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        held, size, known = [], 0, 0
         for frame in frames:
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            marks = frame[["which", "key", "pair"]].to_numpy(np.int64)
-            changed = (marks[1:] != marks[:-1]).any(axis=1)
-            cuts = [0, *(np.flatnonzero(changed) + 1).tolist()] if len(marks) else []
-            for a, b in zip(cuts, cuts[1:]):
-                if b - a > 1:
-                    yield solve(frame.iloc[a:b])
-            rest = frame.iloc[cuts[-1] :] if cuts else None
-        if rest is not None and len(rest) > 1:
-            yield solve(rest)
+            held.append(frame)
+            size += len(frame)
+            # A shard that goes on and on is looked at again only when it has doubled.
+            if size < max(TOGETHER, 2 * known):
+                continue
+            frame = pd.concat(held, ignore_index=True)
+            shard = _numbered(frame)
+            cut = int(np.searchsorted(shard, shard[-1]))
+            if cut:
+                yield solve(frame.iloc[:cut], shard[:cut])
+            held, size, known = [frame.iloc[cut:]], len(frame) - cut, len(frame) - cut
+        if size:
+            frame = pd.concat(held, ignore_index=True)
+            yield solve(frame, _numbered(frame))
 
     return run
 
 
+def _numbered(frame: pd.DataFrame) -> np.ndarray:
+    """The number of each row's shard, from 0."""
+    marks = frame[["which", "key", "pair"]].to_numpy(np.int64)
+    return np.append(0, np.cumsum((marks[1:] != marks[:-1]).any(axis=1)))
+
+
 def links(fps: DataFrame, radius: int = 4, shard: int = SHARD) -> DataFrame:
     """Pairs of distinct fingerprints that connect all within ``radius`` bits of each other.
 
