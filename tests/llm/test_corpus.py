@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -237,6 +239,61 @@ def test_exact_score_beyond_64_bits(spark):
     assert left == {"a b", "b c", "a b c"}
 
 
+def test_a_task_of_many_shards_passes_on_one_table(spark):
+    """With thresholds of one each shard finds every phrase; what leaves a task does not grow with its shards."""
+    rnd = random.Random(8)
+    rows = [("en", " ".join(rnd.choices("a b c d e f g h".split(), k=40)).encode()) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["lang", "text"])
+    totals = {"en": sum(len(t) for _, t in rows)}
+
+    class Held:
+        value = []
+
+    found = []
+    for lengths in phrases.TOGETHER:
+        out = list(phrases._mine(totals, 5, 100, *lengths, Held)(iter([batch])))
+        pieces = [p for b in out for p in b.column("piece").to_pylist()]
+        assert len(pieces) == len(set(pieces)) and pieces.count(-1) == 1
+        below = sum(n for b in out for n in b.column("below").to_pylist())
+        union = bytearray((1 << phrases.BITS) // 8)
+        size = phrases.PIECE_BITS // 8
+        given = (b.filter(pc.greater_equal(b.column("piece"), 0)).select(["piece", "at", "more"]) for b in out)
+        for b in phrases._reaching(5 - below)(given):
+            piece, marks = b.column("piece")[0].as_py(), b.column("bits")[0].as_py()
+            union[piece * size : (piece + 1) * size] = marks
+        found.append(bytes(union))
+        Held.value = list(found)
+    # Words and pairs are in the first union, and longer phrases in the second, mined only where the first has their pairs.
+    want = brute_counts([t.decode() for _, t in rows])
+    numbers = phrases.Numbers("en")
+    for _, text in rows:
+        numbers.add(text)
+    hashes = numbers.hashes()
+    for phrase, n in want.items():
+        members = np.array([[numbers[w.encode()] for w in phrase]], np.int32)
+        if n >= 5:
+            assert phrases._marked(found, members, hashes)[0]
+    assert sum(phrases._marked(found, np.array([[numbers[w.encode()] for w in p]], np.int32), hashes)[0] for p, n in want.items() if n < 5) < 20
+
+
+def brute_counts(texts):
+    counts = Counter()
+    for text in texts:
+        words = text.split()
+        counts.update(tuple(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1))
+    return counts
+
+
+def test_bits_of_a_table_fill_up_and_stay(spark):
+    table = np.zeros(phrases.PIECE_BITS, np.uint8)
+    for _ in range(3):
+        phrases._add(table, np.array([7, 9, 7]), np.array([100, 1, 1000]))
+    assert table[7] == 255 and table[9] == 3 and table.sum() == 258
+    for counts in (table, np.ones_like(table)):
+        at, more = phrases._packed(counts)
+        assert len(at) + len(more) <= len(counts)
+
+
 def test_phrases_of_empty_tables(spark):
     for rows in ([], [(None, None)], [("one two", "en")]):
         found = phrases.mine(spark.createDataFrame(rows, "text string, lang string"))

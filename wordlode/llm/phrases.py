@@ -9,9 +9,13 @@ nothing. A phrase occurs at most t - 1 times in a shard that did not find it, so
 thresholds less one and what shards found beyond them bound its count; only phrases whose bound
 reaches ``support`` stay candidates. The union is kept by bits of phrase hashes, summed piece by
 piece in Spark, and its size does not grow with the corpus: phrases that share a bit
-only add candidates.
+only add candidates. A task adds up what its shards find in one table of all bits and passes that on once.
 
-A second pass counts all candidates in every shard, sums the counts over shards and
+With many shards the thresholds are one, and every phrase of a shard adds to its bit. Phrases of three or
+four words are therefore mined in a pass of their own, which looks only at those whose words and pairs of
+words are candidates in the whole corpus, and have a table of their own.
+
+A last pass counts all candidates in every shard, sums the counts over shards and
 drops what stays below ``support``, so results are exact whatever the shards are.
 
 Everything is per language. A candidate of two words or more is cut behind each word; with
@@ -35,16 +39,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wordlode.session import cut_lineage, spread
+from wordlode.session import cut_lineage, drop_table, spread
 
 LONGEST = 4
 SCALE = 2_000_000
 INSIDE = 80
 # Bytes of text in a shard: a task holds a few numbers for each of its words.
-SHARD_BYTES = 56 << 20
+SHARD_BYTES = 24 << 20
+# Shards that are counted together once candidates are known: a task then holds little but the text.
+COUNTED_SHARDS = 2
+# Shards of a task, which adds up what they find.
+TASK_SHARDS = 16
+# Lengths that are mined together.
+TOGETHER = ((1, 2), (3, LONGEST))
 # Bits of the union (16 MB), and of a piece of it that is summed by itself.
 BITS = 27
 PIECE_BITS = 1 << 15
+PIECES_AT_ONCE = 256
 # The most that one shard adds to a bit; ``support`` may not be more.
 MOST = 255
 # Places of phrases that a task sorts at a time.
@@ -113,7 +124,7 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[Numbe
         yield list(langs.values())
 
 
-def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, word numbers and counts of the phrases that ``keep(members, counts)`` keeps.
 
     A phrase is looked at only where both phrases of one word less were kept. About
@@ -128,7 +139,7 @@ def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iter
     # The number of the kept phrase that begins at each place, or 0.
     at = np.concatenate([np.zeros(1, np.int32), np.where(ok, np.cumsum(ok), 0).astype(np.int32)])[numbers]
     del numbers
-    for length in range(2, LONGEST + 1):
+    for length in range(2, longest + 1):
         if not len(members) or len(at) < 2:
             return
         first, last = at[:-1], at[1:]
@@ -136,7 +147,9 @@ def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iter
         # First parts from one number to the next have about ``at_once`` places.
         before = np.cumsum(np.bincount(first[both], minlength=len(members) + 1))
         lots = np.unique(np.searchsorted(before, np.arange(at_once, before[-1], at_once), side="right"))
-        following = np.zeros(len(first), np.int32)
+        # Nothing is built on the longest.
+        going_on = length < longest
+        following = np.zeros(len(first) if going_on else 0, np.int32)
         longer, done = [np.zeros((0, length), np.int32)], 0
         for begin, end in zip([0, *lots], [*lots, len(members) + 1]):
             places = np.flatnonzero(both & (first >= begin) & (first < end))
@@ -145,10 +158,12 @@ def levels(numbers: np.ndarray, size: int, keep, at_once: int = AT_ONCE) -> Iter
             head, tail = np.divmod(key, len(members) + 1)
             found = np.concatenate([members[head - 1], members[tail - 1][:, -1:]], axis=1)
             ok = keep(found, counts)
-            following[places] = np.where(ok, np.cumsum(ok) + done, 0).astype(np.int32)[which]
-            done += np.count_nonzero(ok)
-            longer.append(found[ok])
-            yield length, longer[-1], counts[ok]
+            found, counts = found[ok], counts[ok]
+            if going_on:
+                following[places] = np.where(ok, np.cumsum(ok) + done, 0).astype(np.int32)[which]
+                done += len(found)
+                longer.append(found)
+            yield length, found, counts
         members, at = np.concatenate(longer), following
 
 
@@ -161,37 +176,67 @@ def bits(members: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _mine(totals: dict[str, int], support: int, limit: int):
-    """What each shard finds: piece, places in it and counts beyond the threshold; and, for piece -1, its thresholds less one."""
+def _marked(unions: list[bytes], members: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bits of phrases of one length are set in the union for it."""
+    which = next(i for i, lengths in enumerate(TOGETHER) if members.shape[1] <= lengths[-1])
+    bit = bits(members, hashes)
+    return (np.frombuffer(unions[which], np.uint8)[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _add(table: np.ndarray, bit: np.ndarray, more: np.ndarray) -> None:
+    """Add to bits, of which several may be the same, up to ``MOST``."""
+    key = np.sort(bit << 8 | np.minimum(more, MOST))
+    starts = np.flatnonzero(np.diff(key >> 8, prepend=-1))
+    if len(starts):
+        at = key[starts] >> 8
+        table[at] = np.minimum(np.add.reduceat(key & 255, starts) + table[at], MOST)
+
+
+def _mine(totals: dict[str, int], support: int, limit: int, shortest: int, longest: int, unions):
+    """What the shards of a task find beyond their thresholds, as pieces: places and counts, or the counts of all places.
+
+    For piece -1, the thresholds less one. Shorter phrases are kept where ``unions`` has them.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, below = np.zeros(1 << BITS, np.uint8), {}
         for langs in shards(batches, limit):
-            found, beyond, pieces, least_of = [], [], [], []
             for lang in langs:
                 if not lang.bytes:
                     continue
                 least = -(-support * lang.bytes // totals[lang.lang])
-                least_of.append((lang.lang, least - 1))
+                below[lang.lang] = below.get(lang.lang, 0) + least - 1
                 hashes = lang.hashes()
-                for _, members, counts in levels(lang.taken(), len(lang.words), lambda m, n: n >= least):
-                    found.append(bits(members, hashes))
-                    beyond.append(np.minimum(counts - least + 1, MOST))
-            if not found:
-                continue
-            bit, which = np.unique(np.concatenate(found), return_inverse=True)
-            more = np.minimum(np.bincount(which, np.concatenate(beyond)), MOST).astype(np.uint8)
-            at = (bit % PIECE_BITS).astype(np.uint16)
-            first, starts = np.unique(bit // PIECE_BITS, return_index=True)
-            for piece, x, y in zip(first.tolist(), starts, [*starts[1:], len(bit)]):
-                pieces.append((piece, None, 0, at[x:y].tobytes(), more[x:y].tobytes()))
-            pieces += [(-1, lang, below, b"", b"") for lang, below in least_of]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*pieces), (pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()))],
-                ["piece", "lang", "below", "at", "more"],
-            )
+
+                def keep(members, counts):
+                    return counts >= least if members.shape[1] >= shortest else _marked(unions.value, members, hashes)
+
+                for size, members, counts in levels(lang.taken(), len(lang.words), keep, longest=longest):
+                    if size >= shortest:
+                        _add(table, bits(members, hashes), counts - least + 1)
+        if not below:
+            return
+        table = table.reshape(-1, PIECE_BITS)
+        filled = np.flatnonzero(table.any(axis=1)).tolist()
+        for k in range(0, len(filled), PIECES_AT_ONCE):
+            yield _pieces((piece, None, 0, *_packed(table[piece])) for piece in filled[k : k + PIECES_AT_ONCE])
+        yield _pieces((-1, lang, n, b"", b"") for lang, n in below.items())
 
     return run
 
 
+def _packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Places and counts above zero, or no places and all counts if that is shorter."""
+    at = np.flatnonzero(counts)
+    if 3 * len(at) >= len(counts):
+        return b"", counts.tobytes()
+    return at.astype(np.uint16).tobytes(), counts[at].tobytes()
+
+
+def _pieces(rows) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["piece", "lang", "below", "at", "more"])
+
+
 def _reaching(least: int):
     """The bits of each piece whose sum over shards reaches ``least``; rows of a piece follow each other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,17 +254,19 @@ def _reaching(least: int):
                         yield done()
                     current = piece
                     sums[:] = 0
-                sums[np.frombuffer(at.as_py(), np.uint16)] += np.frombuffer(more.as_py(), np.uint8)
+                at, more = np.frombuffer(at.as_py(), np.uint16), np.frombuffer(more.as_py(), np.uint8)
+                if len(at):
+                    sums[at] += more
+                else:
+                    sums += more
         if current is not None:
             yield done()
 
     return run
 
 
-def _count(union, limit: int):
+def _count(unions, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.frombuffer(union.value, np.uint8)
-
         def rows(lang, size, phrases, counts):
             for at in range(0, len(phrases), 100_000):
                 some = phrases[at : at + 100_000]
@@ -236,8 +283,7 @@ def _count(union, limit: int):
                 yield from rows(lang.lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
 
                 def candidate(members, _):
-                    bit = bits(members, hashes)
-                    return (marked[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+                    return _marked(unions.value, members, hashes)
 
                 found = levels(numbers, len(lang.words), candidate)
                 del numbers
@@ -248,10 +294,10 @@ def _count(union, limit: int):
     return run
 
 
-def candidate_bits(docs: DataFrame, totals: dict[str, int], support: int, limit: int) -> bytes:
-    """The union of the phrases that may reach ``support``, as a bitmap of 2^BITS bits."""
+def candidate_bits(docs: DataFrame, totals: dict[str, int], support: int, limit: int, lengths: tuple[int, int], unions) -> bytes:
+    """The union of the phrases of some lengths that may reach ``support``, as a bitmap of 2^BITS bits."""
     found = cut_lineage(docs.mapInArrow(
-        _mine(totals, support, limit), "piece int, lang string, below long, at binary, more binary"
+        _mine(totals, support, limit, *lengths, unions), "piece int, lang string, below long, at binary, more binary"
     ))
     # Shards' thresholds less one add up to less than ``support``.
     below = found.where("piece < 0").groupBy("lang").agg(F.sum("below").alias("below")).agg(F.max("below")).first()[0] or 0
@@ -263,6 +309,7 @@ def candidate_bits(docs: DataFrame, totals: dict[str, int], support: int, limit:
     size = PIECE_BITS // 8
     for row in reached.collect():  # at most the size of the bitmap
         union[row["piece"] * size : (row["piece"] + 1) * size] = row["bits"]
+    drop_table(found)
     return bytes(union)
 
 
@@ -282,14 +329,16 @@ def phrase_counts(docs: DataFrame, support: int, text: str = "text", lang: str =
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     totals = {r["lang"]: r["size"] for r in sizes}
-    # Few large shards have higher thresholds than many small ones.
+    # Few large shards have higher thresholds than many small ones, and few tasks pass on fewer tables.
     context = docs.sparkSession.sparkContext
-    parts = max(context.defaultParallelism, -(-sum(totals.values()) // shard_bytes))
+    parts = max(context.defaultParallelism, -(-sum(totals.values()) // (shard_bytes * TASK_SHARDS)))
     given = spread(given).coalesce(parts)
     # A task may get somewhat more than a shard; cutting the rest off would make a tiny one.
     limit = shard_bytes * 3 // 2
-    union = context.broadcast(candidate_bits(given, totals, support, limit))
-    counted = given.mapInArrow(_count(union, limit), "lang string, size int, phrase string, n long")
+    found = []
+    for lengths in TOGETHER:
+        found.append(candidate_bits(given, totals, support, limit, lengths, context.broadcast(list(found))))
+    counted = given.mapInArrow(_count(context.broadcast(found), limit * COUNTED_SHARDS), "lang string, size int, phrase string, n long")
     summed = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return cut_lineage(summed.where((F.col("size") == 0) | (F.col("n") >= support)))
 
