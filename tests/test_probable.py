@@ -88,3 +88,24 @@ def test_no_dictionary(spark):
     df = spark.createDataFrame([("abc d",)], "t string")
     found = probable.segment_probable(df, [], F.col("t"), spark.createDataFrame([], "key string, n long"), " ")
     assert "".join(found.first()["tokens"]) == "abcd"
+
+
+def test_a_run_that_comes_again_is_cut_once(spark, monkeypatch):
+    words = spark.createDataFrame([("ab", 5), ("abc", 3), ("c", 2)], "key string, n long")
+    rows = [(i, " ".join(["abab", "abcq", "xyz", "x" * 70, "", "abab"] * 5)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    plain = [tuple(r["tokens"]) for r in probable.segment_probable(df, ["id"], F.col("text"), words, " ").collect()]
+    assert plain == [(("ab", "ab", "abc", "q", *plain[0][4:-2], "ab", "ab"))] * 30 and "".join(plain[0]) == rows[0][1].replace(" ", "")
+    made = []
+    cut = probable._cut
+    monkeypatch.setattr(probable, "_cut", lambda run, *a: made.append(run) or cut(run, *a))
+    monkeypatch.setattr(probable, "sliced", lambda find, *_: found.append(find) or F.array)
+    for kept in (probable.KEPT_RUNS, 1):
+        monkeypatch.setattr(probable, "KEPT_RUNS", kept)
+        found = []
+        probable.segment_probable(df, ["id"], F.col("text"), words, " ")
+        made.clear()
+        texts = [text.split(" ") for _, text in rows]
+        assert [tuple(t) for t in found[0](texts) + found[0](texts)] == plain * 2
+        # Long runs are cut again in each slice.
+        assert len(made) == (6 if kept > 1 else len(made)) <= 10

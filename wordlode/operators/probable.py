@@ -33,6 +33,9 @@ STATES = "bmes"
 FOLLOWS = {"b": "me", "m": "me", "e": "bs", "s": "bs"}
 # Added to the counts of characters in a state.
 ADDED = 0.5
+# Different runs whose words a task remembers, and the longest of them.
+KEPT_RUNS = 100_000
+KEPT_CHARS = 64
 # Different characters; code points bound them.
 MAX_CHARS = 0x110000
 
@@ -168,7 +171,8 @@ def segment_probable(
     """Cut texts into their most probable words: ``keys`` and an array ``tokens``.
 
     ``words`` has the words and their counts. Runs between separators are cut on their own; the
-    tokens of a run join back to it.
+    tokens of a run join back to it. A run that comes again is cut once in a slice, and most are
+    remembered beyond it.
     """
     counted = word_counts(words, column, count)
     total = counted.agg(F.sum("n")).first()[0] or 0
@@ -178,10 +182,20 @@ def segment_probable(
     unknown = log(0.5 / (total or 1))
     held = df.sparkSession.sparkContext.broadcast(chances(counted))  # a few numbers for each character
 
+    kept: dict[str, list[str]] = {}  # of a task, as each gets a copy
+
     def cut(texts):
         # Runs of all texts of the slice, so that each automaton is met once.
-        arcs = iter(_arcs(dictionary, [run for text in texts for run in text]))
-        return [[t for run in text for t in _cut(run, next(arcs), unknown, held.value)] for text in texts]
+        runs = {run for text in texts for run in text}
+        found = {run: kept[run] for run in runs if run in kept}
+        new = [run for run in runs if run not in found]
+        found.update((run, _cut(run, arcs, unknown, held.value)) for run, arcs in zip(new, _arcs(dictionary, new)))
+        for run in new:
+            if len(run) <= KEPT_CHARS:
+                if len(kept) >= KEPT_RUNS:
+                    kept.clear()
+                kept[run] = found[run]
+        return [[t for run in text for t in found[run]] for text in texts]
 
     runs = F.split(F.coalesce(text, F.lit("")), separator)
     tokens = sliced(cut, "array<string>", STRINGS, dictionary.slice_bytes())(runs)
